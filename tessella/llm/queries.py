@@ -17,6 +17,12 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(_table(spark, sf_dir, "documents"))
 
 
+def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessella.llm import near_dedup
+
+    return near_dedup.near_groups(_table(spark, sf_dir, "documents"), percent=85, width=5)
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tessella.llm import packing
 
