@@ -23,6 +23,12 @@ def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_groups(_table(spark, sf_dir, "documents"), percent=85, width=5)
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessella.llm import decontamination
+
+    return decontamination.overlaps(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tessella.llm import packing
 

@@ -16,6 +16,8 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
+#: Separators of words without punctuation: ASCII characters other than letters and digits.
+PUNCTUATION = np.array([i < 128 and not chr(i).isalnum() for i in range(256)])
 
 _powers: dict[str, np.ndarray] = {}
 
@@ -50,9 +52,9 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw, offsets - offsets[0]
 
 
-def words(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def words(raw: np.ndarray, offsets: np.ndarray, space: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Begin and end of each word of lower-cased bytes, and the number of words before each text."""
-    solid = ~SPACE[raw]
+    solid = ~space[raw]
     before = np.empty_like(solid)
     before[1:] = solid[:-1]
     inner = offsets[:-1][offsets[:-1] < len(raw)]
@@ -85,14 +87,14 @@ def word_hashes(raw: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarr
     return out
 
 
-def texts_words(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def texts_words(column: pa.Array, space: np.ndarray = SPACE) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Slices [i, j) of a column with the word hashes of their lower-cased texts and the words before each text."""
     raw, offsets = utf8(column)
     i, n = 0, len(offsets) - 1
     while i < n:
         j = max(i + 1, int(np.searchsorted(offsets, offsets[i] + BLOCK, "right")) - 1)
         part = LOWER[raw[offsets[i] : offsets[j]]]
-        begin, end, first = words(part, offsets[i : j + 1] - offsets[i])
+        begin, end, first = words(part, offsets[i : j + 1] - offsets[i], space)
         yield i, j, word_hashes(part, begin, end), first
         i = j
 
