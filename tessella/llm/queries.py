@@ -11,6 +11,24 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessella.llm import secrets
+
+    return secrets.secrets(_table(spark, sf_dir, "documents"))
+
+
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessella.llm import language
+
+    return language.identify(_table(spark, sf_dir, "documents"))
+
+
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessella.llm import quality
+
+    return quality.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tessella.llm import exact_dedup
 
