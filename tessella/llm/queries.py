@@ -17,6 +17,15 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secrets(_table(spark, sf_dir, "documents"))
 
 
+URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
+
+
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessella.llm import url_filter
+
+    return url_filter.judge(_table(spark, sf_dir, "pages"), url_filter.rule_table(spark, URL_RULES))
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tessella.llm import language
 
@@ -61,7 +70,17 @@ _NORMAL = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefgh
 
 
 def oracle_sql() -> dict[str, str]:
+    rules = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in URL_RULES)
     return {
+        "op6_url_filter": f"""
+            with rules(rh, rp, rv) as (values {rules}),
+            rest as (select page_id, case when contains(url, '://') then substr(url, strpos(url, '://') + 3) else '' end as r from pages),
+            parts as (select page_id, translate(regexp_extract(r, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+                             regexp_extract(r, '^[^/?#]*([^?#]*)', 1) as path from rest)
+            select page_id, host, path,
+                   arg_max(rh || rp, length(rh || rp)) as rule, coalesce(arg_max(rv, length(rh || rp)), 'allow') as verdict
+            from parts left join rules on (host = rh or ends_with(host, '.' || rh)) and starts_with(path, rp)
+            group by page_id, host, path""",
         "op9_exact_dedup": f"""
             with d as (select doc_id, {_NORMAL} as t from documents)
             select doc_id, max(doc_id) over w as keep_id, count(*) over w as group_size,
