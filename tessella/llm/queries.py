@@ -44,6 +44,12 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(_table(spark, sf_dir, "documents"))
 
 
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessella.llm import pii
+
+    return pii.pseudonyms(_table(spark, sf_dir, "documents"), key="corpus-2024")
+
+
 def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tessella.llm import near_dedup
 
@@ -62,6 +68,12 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"))
 
 
+def op10_chat_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessella.llm import chat
+
+    return chat.rotate(_table(spark, sf_dir, "conversations"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
@@ -70,8 +82,11 @@ _NORMAL = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefgh
 
 
 def oracle_sql() -> dict[str, str]:
+    from tessella.llm import chat
+
     rules = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in URL_RULES)
     return {
+        "op10_chat_rotation": chat.oracle(),
         "op6_url_filter": f"""
             with rules(rh, rp, rv) as (values {rules}),
             rest as (select page_id, case when contains(url, '://') then substr(url, strpos(url, '://') + 3) else '' end as r from pages),
