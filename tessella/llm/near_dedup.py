@@ -10,7 +10,8 @@ on their full shingle sets.
 Documents with equal shingle sets are one node. A bucket does not emit all its
 pairs: first each member meets the bucket's smallest id only, and the confirmed
 links are contracted to components; then only members of a bucket that are
-still in different components meet. So no link between components is lost
+still in different components meet, block by block, and only links that join
+components leave their task. So no link between components is lost
 except where the bands or the sketch miss a pair: a pair at the threshold
 shares no band with a chance of about (1 - t**6)**36, 4e-8 at 0.85, and
 exceeds the sketch's bound about as rarely.
@@ -42,6 +43,8 @@ SKETCH_BITS = 64 * SKETCH_WORDS
 #: Standard deviations of the estimate that the sketch's bound lies below the threshold.
 SLACK = 5.5
 _WIDE = 4096
+#: Members of one block of a large bucket.
+BLOCK = 512
 
 _rng = np.random.Generator(np.random.PCG64(20240229))
 _MULTIPLY = _rng.integers(0, 1 << 31, SAMPLES, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
@@ -129,6 +132,14 @@ def _sets(width: int):
     return run
 
 
+def similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    """100 * intersection >= percent * union, of two sorted sets."""
+    both = np.concatenate((x, y))
+    both.sort(kind="stable")
+    common = int(np.count_nonzero(both[1:] == both[:-1]))
+    return 100 * common >= percent * (len(both) - common)
+
+
 def _confirm(percent: int):
     """Pairs with both sets to those with 100 * intersection >= percent * union."""
 
@@ -137,10 +148,7 @@ def _confirm(percent: int):
             keep = np.zeros(batch.num_rows, bool)
             for r, (x, y) in enumerate(zip(batch.column("blob_a"), batch.column("blob_b"), strict=True)):
                 x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                both = np.concatenate((x, y))
-                both.sort(kind="stable")
-                common = int(np.count_nonzero(both[1:] == both[:-1]))
-                keep[r] = 100 * common >= percent * (len(both) - common)
+                keep[r] = similar(x, y, percent)
             mask = pa.array(keep)
             yield pa.RecordBatch.from_arrays([batch.column("a").filter(mask), batch.column("b").filter(mask)], ["a", "b"])
 
@@ -167,6 +175,99 @@ def _confirmed(docs: DataFrame, pairs: DataFrame, percent: int, width: int) -> D
     return scratch.materialize(found, "links")
 
 
+_PLACE = "key long, low int, high int, side int, id long"
+
+
+def _block_pairs(rows: DataFrame) -> DataFrame:
+    """Members of a bucket dealt to pairs of its blocks, so that each two meet in one group of 2 * BLOCK at most, about."""
+    rows = rows.withColumn("side", F.pmod(F.xxhash64("id"), "blocks").cast("int")).withColumn("with", F.explode(F.sequence(F.lit(0), (F.col("blocks") - 1).cast("int"))))
+    return rows.withColumn("low", F.least("side", "with")).withColumn("high", F.greatest("side", "with")).drop("with", "blocks")
+
+
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Runs of rows with equal (key, low, high) of a sorted partition."""
+    held: list[pa.Table] = []
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        table = pa.Table.from_batches([batch])
+        place = np.stack([np.asarray(batch.column(c)).astype(np.int64) for c in ("key", "low", "high")], axis=1)
+        starts = [0, *(np.flatnonzero((place[1:] != place[:-1]).any(axis=1)) + 1).tolist(), len(place)]
+        for i, j in zip(starts, starts[1:], strict=False):
+            if held and tuple(place[i]) != last:
+                yield pa.concat_tables(held)
+                held = []
+            held.append(table.slice(i, j - i))
+            last = tuple(place[i])
+    if held:
+        yield pa.concat_tables(held)
+
+
+def _near_pairs(group: pa.Table, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rows of a group that may be linked across parts: their numbers, and the distances of their sketches."""
+    side, part, n = (group[c].to_numpy().astype(np.int64) for c in ("side", "part", "n_shingles"))
+    low, high = group["low"][0].as_py(), group["high"][0].as_py()
+    sketch = np.stack([group[f"s{i}"].to_numpy() for i in range(SKETCH_WORDS)], axis=1).view(np.uint64)
+    x, y = np.flatnonzero(side == low), np.flatnonzero(side == high)
+    distance = np.zeros((len(x), len(y)), np.int64)
+    for k in range(SKETCH_WORDS):
+        distance += np.bitwise_count(sketch[x, k][:, None] ^ sketch[y, k][None, :])
+    a, b = n[x][:, None], n[y][None, :]
+    fine = (distance <= sketch_bound(percent / 100)) & (part[x][:, None] != part[y][None, :]) & (100 * np.minimum(a, b) >= percent * np.maximum(a, b))
+    if low == high:
+        fine &= x[:, None] < y[None, :]
+    r, c = np.nonzero(fine)
+    return x[r], y[c], distance[r, c]
+
+
+def _near_members(percent: int):
+    """The members of groups that have a likely partner in another part."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in _groups(batches):
+            x, y, _ = _near_pairs(group, percent)
+            if len(x):
+                yield from group.select([c.split()[0] for c in _PLACE.split(", ")]).take(np.unique(np.concatenate((x, y)))).combine_chunks().to_batches()
+
+    return run
+
+
+def _links_between(percent: int):
+    """Confirmed links that join parts within a group; pairs whose parts are joined already need no test."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in _groups(batches):
+            x, y, distance = _near_pairs(group, percent)
+            key = group["key"][0].as_py()
+            bands = np.stack(group["bands"].to_numpy())
+            band = int((bands[0] == key).argmax())
+            # A pair is tested in the first of its common bands.
+            first = ~(bands[x, :band] == bands[y, :band]).any(axis=1) if band else np.ones(len(x), bool)
+            x, y, distance = x[first], y[first], distance[first]
+            ids, part = group["id"].to_pylist(), group["part"].to_pylist()
+            sets = [np.frombuffer(b, np.uint64) for b in group["blob"].to_pylist()]
+            up: dict[int, int] = {}
+
+            def root(p: int, up=up) -> int:
+                while p in up:
+                    p = up[p]
+                return p
+
+            found: tuple[list[int], list[int]] = ([], [])
+            for k in np.argsort(distance, kind="stable").tolist():
+                i, j = int(x[k]), int(y[k])
+                p, q = root(part[i]), root(part[j])
+                if p != q and similar(sets[i], sets[j], percent):
+                    up[max(p, q)] = min(p, q)
+                    found[0].append(ids[i])
+                    found[1].append(ids[j])
+            if found[0]:
+                yield pa.RecordBatch.from_arrays([pa.array(found[0], pa.int64()), pa.array(found[1], pa.int64())], ["a", "b"])
+
+    return run
+
+
 def near_groups(docs: DataFrame, percent: int = 80, width: int = 5) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept.
 
@@ -194,15 +295,18 @@ def near_groups(docs: DataFrame, percent: int = 80, width: int = 5) -> DataFrame
     # Members of one bucket that the first links leave apart.
     named = buckets.join(label.withColumnRenamed("component", "part"), "id", "left").select("key", "id", F.coalesce("part", "id").alias("part"))
     named = scratch.materialize(named, "named")
-    apart = named.groupBy("key").agg(F.min("part").alias("x"), F.max("part").alias("y")).where("x < y").select("key")
-    open_ = scratch.materialize(named.join(apart, "key", "left_semi").join(_side(nodes, "a").withColumnRenamed("a", "id"), "id"), "open")
-    a = open_.withColumnsRenamed({"id": "a", "part": "part_a"})
-    b = open_.select("key", F.col("id").alias("b"), F.col("part").alias("part_b"), F.col("n_a").alias("n_b"), *[F.col(f"s{i}_a").alias(f"s{i}_b") for i in range(SKETCH_WORDS)])
-    rest = a.join(b, "key").where("part_a < part_b").where(likely).select("a", "b").distinct()
-    rest = rest.join(stars, ["a", "b"], "left_anti").join(stars.select(F.col("b").alias("a"), F.col("a").alias("b")), ["a", "b"], "left_anti")
-    rest = scratch.materialize(rest, "rest")
-    if rest.limit(1).count():
-        more = _confirmed(docs, rest, percent, width)
+    apart = named.groupBy("key").agg(F.min("part").alias("x"), F.max("part").alias("y"), F.count(F.lit(1)).alias("m")).where("x < y").select("key", F.ceil(F.col("m") / BLOCK).alias("blocks"))
+    sketches = nodes.select(F.col("doc_id").alias("id"), "n_shingles", *[f"s{i}" for i in range(SKETCH_WORDS)])
+    open_ = scratch.materialize(_block_pairs(named.join(apart, "key").join(sketches, "id")), "open")
+    active = open_.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high").mapInArrow(_near_members(percent), _PLACE)
+    active = scratch.materialize(active, "active")
+    if active.limit(1).count():
+        ids = scratch.materialize(active.select(F.col("id").alias("doc_id")).distinct(), "ids")
+        sets = scratch.only(_texts(docs), ids, "doc_id").mapInArrow(_sets(width), "doc_id long, blob binary").withColumnRenamed("doc_id", "id")
+        bands = nodes.select(F.col("doc_id").alias("id"), "bands")
+        full = active.join(open_, ["key", "low", "high", "side", "id"]).join(sets, "id").join(bands, "id")
+        found = full.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high").mapInArrow(_links_between(percent), "a long, b long")
+        more = scratch.materialize(found, "links")
         if more.limit(1).count():
             label = components(links.unionByName(more))
 
