@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-FAMILIES: tuple[str, ...] = ()
+FAMILIES = ("joins", "aggregates", "ordered", "geometry", "algebra", "solvers")
 
 
 def load() -> None:
