@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-FAMILIES = ("joins", "aggregates", "ordered", "geometry", "algebra", "solvers")
+FAMILIES = ("joins", "aggregates", "ordered", "geometry", "algebra", "solvers", "streams")
 
 
 def load() -> None:
