@@ -1,0 +1,344 @@
+import base64
+import gzip
+import re
+import urllib.parse
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from tessella.llm import chat, decontamination, language, packing, pii, quality, secrets, url_filter
+
+KEY = "test key"
+
+
+# Decontamination.
+
+
+def test_masks_lose_nothing():
+    from itertools import combinations
+
+    for n in range(decontamination.LEAST, decontamination.WINDOW + 1):
+        for k in range(n - decontamination.needed(n) + 1):
+            for gone in combinations(range(n), k):
+                assert any(all(s + i not in gone for i in m) for m in decontamination.masks_of(n) for s in range(n - m[-1]))
+
+
+def test_overlaps_with_substitutions(spark):
+    rng = np.random.default_rng(1)
+    words = [f"w{i}" for i in range(400)]
+    item = list(rng.choice(words, 40, replace=False))
+    short = ["red", "green", "blue", "white", "black", "grey"]
+    filler = lambda n: list(rng.choice(words, n))
+    changed = list(item)
+    for i in range(3, 40, 7):
+        changed[i] = "other"
+    docs = {
+        1: filler(50) + item + filler(50),
+        2: filler(9) + changed + filler(3),
+        3: filler(200),
+        4: ["Red,", "GREEN", "blue;", "pink", "black", "grey."],
+        5: filler(20) + item[:8] + filler(20),
+        6: filler(5) + item[10:24] + filler(5),
+    }
+    d = spark.createDataFrame([(i, " ".join(w)) for i, w in docs.items()], "doc_id long, text string")
+    b = spark.createDataFrame([(1, " ".join(item)), (2, " ".join(short)), (3, "w1 w2"), (4, None)], "item_id long, text string")
+    got = {(r.doc_id, r.item_id): (r.matched, r.first_word, r.last_word) for r in decontamination.overlaps(d, b).collect()}
+    assert set(got) == {(1, 1), (2, 1), (4, 2), (6, 1)}
+    assert got[1, 1][0] == 13 and got[1, 1][1] <= 50 and got[1, 1][2] >= 89
+    assert got[4, 2] == (5, 0, 5)
+
+
+def test_overlaps_odd(spark, odd, none, small):
+    bench = spark.createDataFrame([(1, "a b c d e f g h"), (2, None), (None, "w5 w6 w7 w8 w9 w10")], "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in decontamination.overlaps(odd, bench).collect()}
+    assert got == {(6, 1), (7, 1), (8, 1), (None, 1), (9, None), (10, None)}
+    assert decontamination.overlaps(none, bench).count() == 0 and decontamination.overlaps(odd, bench.where("false")).count() == 0
+    out = decontamination.drop_contaminated(odd, bench)
+    assert out.columns == odd.columns and {r.doc_id for r in out.collect()} == {1, 2, 3, 4, 5, 11, None}
+
+
+# Packing.
+
+
+@given(st.text(alphabet="aB é\n\t.,'s re漢\u00a0\x1c\x85😀9<|endoftext|>", max_size=40))
+@settings(max_examples=150, deadline=None)
+def test_ids_are_those_of_tokenizers(text):
+    from tokenizers import Tokenizer
+
+    path = packing.default_tokenizer()
+    want = _tokenizer(Tokenizer, path).encode(text, add_special_tokens=False).ids
+    assert np.frombuffer(packing.encoder(path).encode(text), "<u4").tolist() == want
+
+
+_made = {}
+
+
+def _tokenizer(kind, path):
+    if path not in _made:
+        _made[path] = kind.from_file(path)
+    return _made[path]
+
+
+def sequences(rounds):
+    out, per = defaultdict(list), Counter()
+    for length, low, high, first, offset in rounds:
+        per[length] += high - low
+        for k in range(high - low):
+            out[first + k].append((offset, length))
+    return out, per
+
+
+@given(st.dictionaries(st.integers(1, 24), st.integers(1, 30), min_size=1))
+@settings(max_examples=200, deadline=None)
+def test_best_fit_is_gapless_and_tight(lengths):
+    found, per = sequences(packing.best_fit(lengths, 24))
+    assert per == Counter(lengths)
+    for pieces in found.values():
+        at = 0
+        for offset, length in sorted(pieces):
+            assert offset == at
+            at += length
+        assert at <= 24
+    # Plain best fit decreasing, one piece at a time.
+    gaps = []
+    for length in sorted((n for n, c in lengths.items() for _ in range(c)), reverse=True):
+        fits = [g for g in gaps if g >= length]
+        if fits:
+            gaps.remove(min(fits))
+            gaps.append(min(fits) - length)
+        else:
+            gaps.append(24 - length)
+    assert len(found) == len(gaps)
+
+
+def test_pack_odd(odd, none):
+    rows = packing.pack(odd, capacity=64).collect()
+    by = defaultdict(list)
+    for r in rows:
+        by[r.sequence_id].append((r.offset, r.length))
+    for pieces in by.values():
+        at = 0
+        for offset, length in sorted(pieces):
+            assert offset == at
+            at += length
+        assert at <= 64
+    assert [(r.piece, r.start, r.length, r.ids_crc32) for r in rows if r.doc_id == 1] == [(0, 0, 1, zlib.crc32(b"\0\0\0\0"))]
+    long = sorted((r.piece, r.start, r.length) for r in rows if r.doc_id == 9)
+    assert [x[1] for x in long[1:]] == [a[1] + a[2] for a in long[:-1]] and all(x[2] == 64 for x in long[1:])
+    assert sum(r.doc_id == 8 for r in rows) == 2 and sum(r.doc_id is None for r in rows) == 2
+    assert packing.pack(none).count() == 0
+
+
+# Secrets.
+
+SECRET = 'token = "faf2116cd046c3bdabaf32e8b034ed366aedea04"'
+
+
+def base_spans(text):
+    """The three kinds, written plainly."""
+    out = []
+    for m in re.finditer(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", text, re.I | re.A):
+        if len(m[2]) >= 8:
+            out.append((m.start(), 0, m.end()))
+    out += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 16]
+    out += [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 32]
+    return sorted(out)
+
+
+@given(st.lists(st.sampled_from(["token", "Secret", "API_KEY", "apikey", "=", ": ", '"', " ", "AKIA", "ABCDEF0123456789", "deadbeef" * 4, "0f", "short", "long-enough.value", "\n", "é", "%3D"]), max_size=25).map("".join))
+@settings(max_examples=300, deadline=None)
+def test_base_spans(text):
+    assert secrets.scan(text, secrets.long_words(text)) == base_spans(text)
+    base, spans, _, _ = secrets.unwrap(text)
+    assert set(base) <= spans
+
+
+@pytest.mark.parametrize(
+    "wrap",
+    [
+        lambda s: urllib.parse.quote(s, safe=""),
+        lambda s: "".join(f"\\u{ord(c):04x}" for c in s),
+        lambda s: "".join(f"&#{ord(c)};" for c in s),
+        lambda s: base64.b64encode(s.encode()).decode(),
+        lambda s: base64.urlsafe_b64encode(gzip.compress(s.encode())).decode(),
+        lambda s: zlib.compress(zlib.compress(s.encode())).hex(),
+        lambda s: urllib.parse.quote(base64.b64encode(zlib.compress("".join(f"\\u{ord(c):04x}" for c in s).encode())).decode(), safe=""),
+    ],
+)
+def test_wrapped_secret_is_found(wrap):
+    inner = wrap(SECRET)
+    text = f"héllo {inner} end"
+    _, spans, layers, whole = secrets.unwrap(text)
+    assert layers > 1 and whole
+    assert any(kind == 0 and start == 6 and 6 < end <= 6 + len(inner) for start, kind, end in spans)
+
+
+def test_self_containing_layers_end():
+    text = SECRET
+    for _ in range(12):
+        text = base64.b64encode(text.encode()).decode()
+    assert any(k == 0 for _, k, _ in secrets.unwrap(text)[1])
+    assert secrets.unwrap("%2525252541")[2] <= 8
+
+
+def test_secrets_odd(odd, none):
+    rows = secrets.secrets(odd).collect()
+    assert len(rows) == odd.count() and all(r.spans == "" and r.n_assign == r.n_access == r.n_hex == 0 for r in rows)
+    assert secrets.secrets(none).count() == 0
+
+
+# Urls.
+
+RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow"), ("a.b.example.net", "", "block"), ("example.net", "/en/x", "block"), ("", "/", "block"), ("net", "/", "block")]
+
+
+def plain_verdict(url):
+    if url is None or "://" not in url:
+        return "", "", None, "allow"
+    rest = url.split("://", 1)[1]
+    host = re.split("[/?#]", rest, maxsplit=1)[0]
+    path = re.split("[?#]", rest[len(host) :], maxsplit=1)[0]
+    host = "".join(c.lower() if "A" <= c <= "Z" else c for c in host)
+    fits = [(-len(h + p), -len(h), v != "block", h + p, v) for h, p, v in RULES if h and (host == h or host.endswith("." + h)) and path.startswith(p)]
+    return (host, path, min(fits)[3], min(fits)[4]) if fits else (host, path, None, "allow")
+
+
+def test_urls_against_plain_rules(spark):
+    rng = np.random.default_rng(2)
+    hosts = ["net", "example.net", "www.example.net", "a.b.example.net", "x.a.b.Example.NET", "example.com", "m.example.com", "example-x.net", "example.net.", "a..net", "org", "é.org", ""]
+    paths = ["", "/", "/en/", "/en/x/1", "/de/1", "/fr/2?q=/en/", "#/en/", "/EN/"]
+    urls = [f"http://{h}{p}" for h in hosts for p in paths] + [None, "", "net/en/", "a://b://net/", "HTTPS://WWW.EXAMPLE.NET/en/"]
+    urls += ["https://hot.example.net/en/" + str(i) for i in rng.integers(0, 9, 300)]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string").withColumn("host", pages_extra()).withColumn("key", pages_extra())
+    got = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in url_filter.judge(pages, url_filter.rule_table(spark, RULES)).collect()}
+    assert got == {i: plain_verdict(u) for i, u in enumerate(urls)}
+    assert url_filter.judge(pages.where("false"), url_filter.rule_table(spark, RULES)).count() == 0
+    assert {r.verdict for r in url_filter.judge(pages, url_filter.rule_table(spark, RULES).where("false"), default="block").collect()} == {"block"}
+
+
+def pages_extra():
+    from pyspark.sql import functions as F
+
+    return F.lit("x")
+
+
+# Language and quality.
+
+
+def test_language_held_out(spark, odd, none):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = language.identify(docs).join(docs.select("doc_id", "lang"), "doc_id").collect()
+    held = [r for r in rows if r.held_out and r.lang]
+    assert len(held) > 150 and np.mean([r.lang == r.lang_pred for r in held]) > 0.97
+    assert all(0 <= r.score <= 1 for r in rows)
+    got = [(r.doc_id, r.lang_pred, r.score) for r in language.identify(odd).collect()]
+    assert len(got) == odd.count() and {(p, s) for i, p, s in got if i in (1, 2, 3)} == {("und", 0.0)}
+    assert {p for i, p, _ in got if i == 9} == {"en"}
+    assert language.identify(none).count() == 0
+    assert {r.lang_pred for r in language.identify(odd.withColumn("lang", odd.lang.substr(1, 0))).collect()} <= {"", "und"}
+
+
+def test_trigrams_over_blocks(monkeypatch):
+    text = "Thé quick brown fox, jumps over the lazy dog " * 9
+    want = language.Trigrams.count(text)
+    monkeypatch.setattr(language, "BLOCK", 7)
+    got = language.Trigrams.count(text)
+    assert (want[0] == got[0]).all() and (want[1] == got[1]).all()
+
+
+def test_quality_held_out(spark, odd, none, labels):
+    docs, marks = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    rows = quality.classify(docs, marks).join(marks, "doc_id").collect()
+    good = [r.score for r in rows if r.held_out and r.quality == 1]
+    bad = [r.score for r in rows if r.held_out and r.quality == 0]
+    assert np.mean([[g > b for b in bad] for g in good]) > 0.97 and np.mean([g >= 0.5 for g in good]) > 0.97
+    assert quality.classify(odd, labels).count() == odd.count()
+    assert quality.classify(odd, labels.where("false")).where("score between 0 and 1").count() == odd.count()
+    assert quality.classify(none, labels).count() == 0
+    out = quality.keep_good(odd, labels)
+    assert out.columns == odd.columns and out.count() <= odd.count()
+
+
+def test_prior_estimate():
+    rng = np.random.default_rng(4)
+    p = rng.normal(2, 1, 4000)
+    u = np.concatenate((rng.normal(2, 1, 2400), rng.normal(-2, 1, 1600)))
+    assert abs(quality.estimate_prior(p, u) - 0.6) < 0.05
+
+
+# Pseudonyms.
+
+
+def luhn(digits):
+    total = 0
+    for i, c in enumerate(reversed(digits)):
+        x = int(c) * (1 + i % 2)
+        total += x - 9 * (x > 9)
+    return total % 10 == 0
+
+
+def test_pseudonyms_keep_their_format(spark, odd, none):
+    import datetime
+
+    texts = [
+        "Mail the.68@mail2.example.com, again the.68@mail2.example.com.",
+        "card 4521940886194967 bad 4521940886194968 and 4521-9408-8619-4967",
+        "+1 (286) 555-5136 and +44 20 7946 0958",
+        "ip 84.93.123.184. version 4.0. not 300.1.1.1",
+        "on 2020-02-29, 01.03.1999 not 2021-02-30",
+        "ssn 123-45-6789 not 000-12-3456",
+        "IBAN GB82 WEST 1234 5698 7654 32 not GB82 WEST 1234 5698 7654 33",
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r for r in pii.pseudonyms(docs, KEY).collect()}
+    shape = lambda s: re.sub("[a-z]", "a", re.sub("[A-Z]", "A", re.sub("[0-9]", "9", s)))
+    for i, t in enumerate(texts):
+        if i != 3:
+            assert shape(got[i].text) == shape(t)
+    assert [got[i].n_found for i in range(7)] == [2, 2, 2, 1, 2, 1, 1]
+    mails = re.findall(r"\S+@mail2\.example\.com", got[0].text)
+    assert mails[0] == mails[1] != "the.68@mail2.example.com"
+    a, b, c = re.findall(r"[0-9-]{16,}", got[1].text)
+    assert luhn(a) and a[0] == "4" and a != "4521940886194967" and b == "4521940886194968" and c.replace("-", "") == a
+    assert "286" not in got[2].text and got[2].text.startswith("+1 (")
+    assert got[3].text.endswith("version 4.0. not 300.1.1.1") and all(int(x) < 256 for x in got[3].text.split()[1].strip(".").split("."))
+    day = datetime.date.fromisoformat(got[4].text.split()[1].strip(","))
+    assert day != datetime.date(2020, 2, 29) and got[4].text.endswith("not 2021-02-30")
+    assert got[5].text.endswith("not 000-12-3456") and "123-45-6789" not in got[5].text
+    iban = got[6].text[5:32].replace(" ", "")[:22]
+    assert iban[:2] == "GB" and int("".join(str(int(x, 36)) for x in iban[4:] + iban[:4])) % 97 == 1
+    assert pii.pseudonyms(docs, "other").where("doc_id = 5").first().text != got[5].text
+    out = pii.pseudonyms(odd, KEY).collect()
+    assert len(out) == odd.count() and all(r.n_found == 0 for r in out) and {r.text for r in out if r.doc_id == 1} == {None}
+    assert pii.pseudonyms(none, KEY).count() == 0
+
+
+def test_pseudonyms_are_a_permutation(spark):
+    """Small domains are met completely: every date of ten years and every address of one /22 stays apart from the others."""
+    from pyspark.sql import functions as F
+
+    days = spark.range(3653).select("id", F.date_format(F.date_add(F.lit("1990-01-01").cast("date"), F.col("id").cast("int")), "yyyy-MM-dd").alias("text"))
+    out = pii.pseudonyms(days.withColumnRenamed("id", "doc_id"), KEY)
+    assert out.select("text").distinct().count() == 3653 and out.where("text between '1900-01-01' and '2099-12-31'").count() == 3653
+    hosts = spark.range(1024).select(F.col("id").alias("doc_id"), F.concat(F.lit("10.0."), F.floor(F.col("id") / 256).cast("string"), F.lit("."), (F.col("id") % 256).cast("string")).alias("text"))
+    assert pii.pseudonyms(hosts, KEY).select("text").distinct().count() == 1024
+
+
+# Chat.
+
+
+def test_rotation(spark):
+    rows = [(1, 0, "system", "Rules"), (1, 1, "ann", "Hi"), (1, 2, "bob", "Ho <|im_end|>"), (1, 70, "ann", None), (1, 70, "ann", None), (2, 0, None, "x"), (2, None, "", "y"), (None, 1, "z", "w"), (3, 0, "system", "alone")]
+    table = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").selectExpr("*", "1 as segment", "'x' as speaker", "'q' as perspective")
+    got = {(r.conv_id, r.perspective, r.segment): r for r in chat.rotate(table).collect()}
+    assert set(got) == {(1, "ann", 0), (1, "bob", 0), (1, "ann", 1), (1, "bob", 1), (2, "unknown", 0), (2, "unknown", None), (None, "z", 0)}
+    r = got[1, "ann", 0]
+    assert r.text == "<|im_start|>system\nRules<|im_end|>\n<|im_start|>assistant\nHi<|im_end|>\n<|im_start|>user name=bob\nHo < |im_end|><|im_end|>\n"
+    a, b = map(int, r.mask.split("-"))
+    assert r.text[a:b] == "Hi<|im_end|>" and r.n_learned == b - a and r.n_turns == 3
+    assert got[1, "bob", 1].mask == "" and got[1, "ann", 1].n_turns == 2 and got[1, "ann", 1].mask.count("-") == 2
+    assert chat.rotate(table.where("false")).count() == 0
