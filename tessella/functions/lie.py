@@ -234,23 +234,27 @@ class SE3(NamedTuple):
         back = q_inv(self.q)
         return q_act(back, tau), q_act(back, sub(phi, cross(self.t, tau)))
 
-    def jinv(self, tau: Vec, phi: Vec) -> tuple[Vec, Vec]:
-        """The inverse left Jacobian at this transform applied to a tangent."""
-        rho, theta = self.log()
+    def jinv(self, tau: Vec, phi: Vec, at: tuple[Vec, Vec] | None = None) -> tuple[Vec, Vec]:
+        """The inverse left Jacobian at this transform applied to a tangent.
+
+        z / (e^z - 1) of the adjoint of the logarithm, as the polynomial that
+        agrees with it on the adjoint's spectrum. at: the logarithm where it
+        has been projected before, which keeps the expression small.
+        """
+        rho, theta = self.log() if at is None else at
         t = norm(theta)
-        small = t < 1e-3
+        small = t < 1e-2
         s = F.when(small, 1.0).otherwise(t)
-        a = F.when(small, 1 / 6).otherwise((s - F.sin(s)) / F.pow(s, 3))
-        b = F.when(small, -1 / 24).otherwise((1 - s * s / 2 - F.cos(s)) / F.pow(s, 4))
-        c = F.when(small, -1 / 60).otherwise(b - 3 * (s - F.sin(s) - F.pow(s, 3) / 6) / F.pow(s, 5))
-        turned = so3_left_inv(theta, phi)
-        p = lambda x: cross(theta, x)
-        r = lambda x: cross(rho, x)
-        q = scale(r(turned), 0.5)
-        q = add(q, scale(add(add(p(r(turned)), r(p(turned))), p(r(p(turned)))), a))
-        q = sub(q, scale(sub(add(p(p(r(turned))), r(p(p(turned)))), scale(p(r(p(turned))), 3)), b))
-        q = sub(q, scale(add(p(r(p(p(turned)))), p(p(r(p(turned))))), c * 0.5))
-        return so3_left_inv(theta, sub(tau, q)), turned
+        cot = 1 / F.tan(s / 2)
+        g = s / 2 * cot
+        slope = (s / 4 * (1 + cot * cot) - cot / 2) / (2 * s)
+        a = F.when(small, 1 / 12).otherwise(2 * (1 - g) / (s * s) - slope)
+        b = F.when(small, -1 / 720).otherwise(((1 - g) / (s * s) - slope) / (s * s))
+        ad = lambda x: (add(cross(theta, x[0]), cross(rho, x[1])), cross(theta, x[1]))
+        once = ad((tau, phi))
+        twice = ad(once)
+        four = ad(ad(twice))
+        return tuple(add(add(x, scale(y, -0.5)), add(scale(z, a), scale(w, b))) for x, y, z, w in zip((tau, phi), once, twice, four, strict=True))  # type: ignore[return-value]
 
     def matrix(self):
         rows = q_matrix(self.q)

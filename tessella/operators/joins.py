@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessella.lineage import cut
+
 
 def bracketing_keyframes(frames: DataFrame, keyframes: DataFrame, stream: str, time: str, tie: str, values: list[str], slice_of: Column | None = None) -> DataFrame:
     """Each frame with its last keyframe at or before it and the next one (itself where there is none).
@@ -169,8 +171,8 @@ def knn(queries: DataFrame, points: DataFrame, keys: list[str], axes: list[str],
     """The k nearest points (squared distance) of each query, exactly, up to three axes.
 
     Both sides meet in cells of a grid and in the cells around; a query whose
-    k-th neighbour there may lie beyond them is asked again with cells twice as
-    wide, until all have their neighbours or the keys hold too few points.
+    k-th neighbour there may lie beyond them is asked again with cells four times
+    as wide, until all have their neighbours or the keys hold too few points.
     Ties go to the smaller point id.
     """
     dist = lambda: sum(((F.col(f"q_{a}") - F.col(f"p_{a}")) * (F.col(f"q_{a}") - F.col(f"p_{a}")) for a in axes[1:]), (F.col(f"q_{axes[0]}") - F.col(f"p_{axes[0]}")) * (F.col(f"q_{axes[0]}") - F.col(f"p_{axes[0]}")))
@@ -201,7 +203,10 @@ def knn(queries: DataFrame, points: DataFrame, keys: list[str], axes: list[str],
         done = final if done is None else done.unionByName(final)
         if left is None:
             return done
-        q, cell = left, cell * 2
+        left = cut(left)
+        if not left.limit(1).count():
+            return done
+        q, cell = left, cell * 4
 
 
 def knn_affine_fill(neighbours: DataFrame, keys: list[str], x: str, y: str, d2: str) -> DataFrame:
