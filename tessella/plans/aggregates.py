@@ -184,11 +184,11 @@ def frame_distance_both_ways(spark, d):
     "median_scale_carry",
     """with f as (select l_suppkey as k, l_orderkey // 100 as f, l_tax > 0.02 as ok, l_extendedprice / l_quantity as r from lineitem where l_suppkey <= 10),
     g as (select k, f, quantile_disc(case when ok then r end, 0.5) as own, avg(ok::int) as share from f group by 1, 2)
-    select k, f, round(coalesce(last_value(case when share >= 0.6 then own end ignore nulls) over (partition by k order by f), 1.0), 6) + 0.0 as scale from g""",
+    select k, f, round(coalesce(last_value(case when share >= 0.6 then own end ignore nulls) over (partition by k order by f), 1.0) + 1e-9, 6) + 0.0 as scale from g""",
 )
 def median_scale_carry(spark, d):
     rows = table(spark, d, "lineitem").where("l_suppkey <= 10").select(F.col("l_suppkey").alias("k"), F.floor(F.col("l_orderkey") / 100).alias("f"), (F.col("l_tax") > 0.02).alias("ok"), F.col("l_extendedprice").alias("p"), F.col("l_quantity").alias("t"))
-    return align.median_scale(rows, ["k"], "f", "p", "t", F.col("ok"), 0.6).select("k", "f", near(F.col("scale")).alias("scale"))
+    return align.median_scale(rows, ["k"], "f", "p", "t", F.col("ok"), 0.6).select("k", "f", near(F.col("scale") + 1e-9).alias("scale"))
 
 
 @query("residual_energy", "select l_returnflag as term, round(sum(l_tax * l_quantity * l_quantity), 4) + 0.0 as energy from lineitem group by 1")
@@ -264,9 +264,9 @@ def logit_merge(spark, d):
     return rows.select("l_orderkey", near(F.col("least")).alias("least"), near(F.log(a / (1 - a)), 5).alias("soft"))
 
 
-@query("track_merge_later_wins", "select l_suppkey, l_linenumber, last(l_partkey order by l_orderkey) as object_id from lineitem group by 1, 2")
+@query("track_merge_later_wins", "select l_suppkey, l_linenumber, last(l_partkey order by l_orderkey, l_partkey) as object_id from lineitem group by 1, 2")
 def track_merge_later_wins(spark, d):
-    return table(spark, d, "lineitem").groupBy("l_suppkey", "l_linenumber").agg(F.max_by("l_partkey", "l_orderkey").alias("object_id"))
+    return table(spark, d, "lineitem").groupBy("l_suppkey", "l_linenumber").agg(F.max_by("l_partkey", F.struct("l_orderkey", "l_partkey")).alias("object_id"))
 
 
 @query("object_bands", "select l_suppkey, cast(floor((l_suppkey - 1) / 10) as bigint) as band, cast(((l_suppkey - 1) % 10 + 10) % 10 + 1 as bigint) as local_id, count(*) as n from lineitem group by 1, 2, 3")

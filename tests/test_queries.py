@@ -1,8 +1,7 @@
 """Every registered query against its SQL in DuckDB, on the smallest tables."""
 
-import math
-
 import duckdb
+import pandas as pd
 import pytest
 
 from tessella import catalogue
@@ -20,7 +19,7 @@ def duck():
 
 
 def _cell(x):
-    if x is None or isinstance(x, float) and math.isnan(x):
+    if pd.isna(x):
         return "null"
     if isinstance(x, bool):
         return str(x)
