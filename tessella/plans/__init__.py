@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-FAMILIES = ("joins", "aggregates", "ordered", "geometry", "algebra", "solvers", "streams")
+FAMILIES = ("joins", "aggregates", "ordered", "geometry", "algebra", "solvers", "streams", "rasters")
 
 
 def load() -> None:

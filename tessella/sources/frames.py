@@ -148,3 +148,25 @@ def make(kind: str, spark: SparkSession, **options) -> DataFrame:
     if kind not in REGISTRY:
         raise ValueError(f"no source {kind!r}; one of {', '.join(sorted(REGISTRY))}")
     return REGISTRY[kind](spark, **options)
+
+
+def pose_arrays(spark: SparkSession, path: str) -> DataFrame:
+    """Poses of ``.npz`` files (inds, 4x4 data, camera to world): stream_id, inds, tx .. qw."""
+    import io
+
+    import numpy as np
+
+    from tessella.functions.lie import SE3
+
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.npz").load(path).select("path", "content")
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for p, c in zip(batch.path, batch.content, strict=True):
+                with np.load(io.BytesIO(c), allow_pickle=False) as z:
+                    inds, data = z["inds"].astype(np.int64), z["data"].astype(float).reshape(len(z["inds"]), 16)
+                yield pd.DataFrame({"path": p, "inds": inds, "m": list(data)})
+
+    rows = files.mapInPandas(run, "path string, inds long, m array<double>")
+    m = [[F.col("m")[4 * r + c] for c in range(4)] for r in range(4)]
+    return rows.select(F.regexp_extract("path", r"([^/]+)\.npz$", 1).alias("stream_id"), "inds", *SE3.of_matrix(m).columns())
