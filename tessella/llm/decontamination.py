@@ -152,7 +152,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """
     spark = docs.sparkSession
     every = sorted({m for n in range(LEAST, WINDOW + 1) for m in masks_of(n)})
-    seeds = scratch.materialize(_rows(benchmark, "item_id").mapInArrow(_hits(every, None, 0, _NONE_ITEM), _HIT), "item-seeds")
+    seeds = scratch.materialize(_rows(benchmark, "item_id").transform(scratch.arrow, _hits(every, None, 0, _NONE_ITEM), _HIT), "item-seeds")
     # The masks of short items count only where there are such items.
     sizes = [r.n for r in seeds.select(F.least("words", F.lit(WINDOW)).alias("n")).distinct().collect()]
     masks = sorted({m for n in sizes for m in masks_of(n)})
@@ -166,9 +166,9 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     packed = np.zeros(1 << (bits - 5), np.uint32)
     packed[got.w.to_numpy(np.int64)] = got.b.to_numpy(np.int64).astype(np.uint32)
     bitmap = spark.sparkContext.broadcast(_Bitmap(packed))
-    hits = _rows(docs, "doc_id").mapInArrow(_hits(masks, bitmap, bits, _NONE_TEST), _HIT)
+    hits = _rows(docs, "doc_id").transform(scratch.arrow, _hits(masks, bitmap, bits, _NONE_TEST), _HIT)
     item = seeds.select("seed", F.col("id").alias("item_id"), F.col("place").alias("item_place"), F.col("words").alias("item_words"), F.col("around").alias("item_around")).dropDuplicates(["seed", "item_id", "item_around"])
-    found = hits.join(item, "seed").select("id", "place", "around", "item_id", "item_words", "item_around").mapInArrow(_verify, "doc_id long, item_id long, matched long, first_word long, last_word long")
+    found = hits.join(item, "seed").select("id", "place", "around", "item_id", "item_words", "item_around").transform(scratch.arrow, _verify, "doc_id long, item_id long, matched long, first_word long, last_word long")
     return found.groupBy("doc_id", "item_id").agg(F.max("matched").alias("matched"), F.min("first_word").alias("first_word"), F.max("last_word").alias("last_word"))
 
 

@@ -151,10 +151,10 @@ def digests(docs: DataFrame, owners: int | None = None) -> DataFrame:
     owners = owners or int(spark.conf.get("spark.sql.shuffle.partitions"))
     normal = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _normal(F.col("text")).alias("t"))
     keyed = normal.select("doc_id", F.xxhash64("t").alias("fp"), F.unhex(F.sha2("t", 256)).alias("digest"))
-    blocks = scratch.materialize(keyed.mapInArrow(_blocks(bits, owners), _BLOCKS), "fingerprints")
+    blocks = scratch.materialize(keyed.transform(scratch.arrow, _blocks(bits, owners), _BLOCKS), "fingerprints")
     sent = blocks.select("owner", "block", "k", "n", "quotients", "remainders")
     bitmaps = sent.groupBy("owner").applyInPandas(_owner, "block long, owner int, bitmap binary")
-    return blocks.join(bitmaps, ["block", "owner"]).mapInArrow(_unpack, "doc_id long, digest binary, suspect boolean")
+    return blocks.join(bitmaps, ["block", "owner"]).transform(scratch.arrow, _unpack, "doc_id long, digest binary, suspect boolean")
 
 
 def exact_groups(docs: DataFrame) -> DataFrame:

@@ -24,6 +24,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessella.llm import scratch
+
 DIMENSIONS = 1024
 SAMPLE = 20_000
 NONE = "und"
@@ -139,7 +141,7 @@ def learn(rows: DataFrame, sample: int = SAMPLE) -> dict[str, np.ndarray]:
 
     # A fixed number of partial bundles, one for each task and language.
     total: dict[str, np.ndarray] = {}
-    for r in rows.repartition(12, F.xxhash64("doc_id")).select("lang", "text").mapInArrow(bundle, "lang string, sum binary").collect():
+    for r in rows.repartition(12, F.xxhash64("doc_id")).select("lang", "text").transform(scratch.arrow, bundle, "lang string, sum binary").collect():
         total[r["lang"]] = total.get(r["lang"], 0.0) + np.frombuffer(r["sum"], np.float64)
     return {name: (v / n).astype(np.float32) for name, v in sorted(total.items()) if (n := np.linalg.norm(v))}
 
@@ -162,7 +164,7 @@ def predict(docs: DataFrame, prototypes: dict[str, np.ndarray], held_out: Column
                     score.append(float(min(1.0, max(0.0, cosine[k, at]))) if at >= 0 else 0.0)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("held_out"), pa.array(best, pa.string()), pa.array(score, pa.float64())], ["doc_id", "held_out", "lang_pred", "score"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out.alias("held_out"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out.alias("held_out"), F.col("text").cast("string").alias("text")).transform(scratch.arrow, run, "doc_id long, held_out boolean, lang_pred string, score double")
 
 
 def identify(docs: DataFrame, folds: int = 4, held: int = 2, sample: int = SAMPLE) -> DataFrame:

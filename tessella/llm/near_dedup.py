@@ -114,7 +114,7 @@ def _sign(width: int):
 
 def signatures(docs: DataFrame, width: int = 5) -> DataFrame:
     """doc_id, n_shingles, a 128-bit digest of the shingle set, band keys and odd sketch."""
-    return _texts(docs).mapInArrow(_sign(width), _SIGNATURE)
+    return _texts(docs).transform(scratch.arrow, _sign(width), _SIGNATURE)
 
 
 def _texts(docs: DataFrame) -> DataFrame:
@@ -168,10 +168,10 @@ def _likely(percent: int) -> str:
 def _confirmed(docs: DataFrame, pairs: DataFrame, percent: int, width: int) -> DataFrame:
     """The pairs (a, b) whose full sets are similar. Only texts that occur in pairs are fetched."""
     ids = scratch.materialize(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "ids")
-    sets = scratch.materialize(scratch.only(_texts(docs), ids, "doc_id").mapInArrow(_sets(width), "doc_id long, blob binary"), "sets")
+    sets = scratch.materialize(scratch.only(_texts(docs), ids, "doc_id").transform(scratch.arrow, _sets(width), "doc_id long, blob binary"), "sets")
     left = sets.select(F.col("doc_id").alias("a"), F.col("blob").alias("blob_a"))
     right = sets.select(F.col("doc_id").alias("b"), F.col("blob").alias("blob_b"))
-    found = pairs.join(left, "a").join(right, "b").select("a", "b", "blob_a", "blob_b").mapInArrow(_confirm(percent), "a long, b long")
+    found = pairs.join(left, "a").join(right, "b").select("a", "b", "blob_a", "blob_b").transform(scratch.arrow, _confirm(percent), "a long, b long")
     return scratch.materialize(found, "links")
 
 
@@ -298,14 +298,14 @@ def near_groups(docs: DataFrame, percent: int = 80, width: int = 5) -> DataFrame
     apart = named.groupBy("key").agg(F.min("part").alias("x"), F.max("part").alias("y"), F.count(F.lit(1)).alias("m")).where("x < y").select("key", F.ceil(F.col("m") / BLOCK).alias("blocks"))
     sketches = nodes.select(F.col("doc_id").alias("id"), "n_shingles", *[f"s{i}" for i in range(SKETCH_WORDS)])
     open_ = scratch.materialize(_block_pairs(named.join(apart, "key").join(sketches, "id")), "open")
-    active = open_.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high").mapInArrow(_near_members(percent), _PLACE)
+    active = open_.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high").transform(scratch.arrow, _near_members(percent), _PLACE)
     active = scratch.materialize(active, "active")
     if active.limit(1).count():
         ids = scratch.materialize(active.select(F.col("id").alias("doc_id")).distinct(), "ids")
-        sets = scratch.only(_texts(docs), ids, "doc_id").mapInArrow(_sets(width), "doc_id long, blob binary").withColumnRenamed("doc_id", "id")
+        sets = scratch.only(_texts(docs), ids, "doc_id").transform(scratch.arrow, _sets(width), "doc_id long, blob binary").withColumnRenamed("doc_id", "id")
         bands = nodes.select(F.col("doc_id").alias("id"), "bands")
         full = active.join(open_, ["key", "low", "high", "side", "id"]).join(sets, "id").join(bands, "id")
-        found = full.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high").mapInArrow(_links_between(percent), "a long, b long")
+        found = full.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high").transform(scratch.arrow, _links_between(percent), "a long, b long")
         more = scratch.materialize(found, "links")
         if more.limit(1).count():
             label = components(links.unionByName(more))

@@ -31,8 +31,8 @@ from tessella.llm import scratch
 
 CAPACITY = 2048
 END = b"\0\0\0\0"
-#: Chunks whose ids a worker remembers; beyond that it starts afresh.
-CACHE = 400_000
+#: Chunks whose ids are remembered within a task; beyond that it starts afresh.
+CACHE = 200_000
 #: The split of this byte-level vocabulary, and the text of its special token.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _LONE_SPACE = re.compile(r"(?<=\S) (?=\S)")
@@ -126,6 +126,7 @@ def pieces(docs: DataFrame, tokenizer_path: str | None = None, capacity: int = C
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(path).encode
+        encoder(path).known.clear()
         for batch in batches:
             columns: list[list] = [[], [], [], [], []]
             ids = batch.column("doc_id").to_pylist()
@@ -134,8 +135,9 @@ def pieces(docs: DataFrame, tokenizer_path: str | None = None, capacity: int = C
                     for column, value in zip(columns, (doc_id, *piece), strict=True):
                         column.append(value)
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, _PIECE_TYPES, strict=True)], [x.split()[0] for x in _PIECES.split(", ")])
+        encoder(path).known.clear()
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, _PIECES)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).transform(scratch.arrow, run, _PIECES)
 
 
 def best_fit(lengths: dict[int, int], capacity: int) -> list[tuple[int, int, int, int, int]]:

@@ -26,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessella.llm import scratch
 from tessella.llm.textkit import texts_words, utf8, words
 
 SAMPLE = 12_000
@@ -172,7 +173,7 @@ def _sampled(rows: DataFrame, name: str, sample: int) -> np.ndarray:
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([x.astype(np.float32).tobytes() for x in features(batch.column("text"))], pa.binary())], ["doc_id", "x"])
 
-    got = rows.select("doc_id", "text").mapInArrow(run, "doc_id long, x binary").toPandas().sort_values("doc_id", kind="stable")
+    got = rows.select("doc_id", "text").transform(scratch.arrow, run, "doc_id long, x binary").toPandas().sort_values("doc_id", kind="stable")
     return np.frombuffer(b"".join(got.x), np.float32).reshape(-1, FEATURES).astype(np.float64)
 
 
@@ -204,7 +205,7 @@ def score(docs: DataFrame, model: tuple[Network, float] | None, held_out: Column
             s = _scores(model, batch.column("text"))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("held_out"), pa.array(s), pa.array((s >= 0.5).astype(np.int32))], ["doc_id", "held_out", "score", "predicted"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out.alias("held_out"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, held_out boolean, score double, predicted int")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out.alias("held_out"), F.col("text").cast("string").alias("text")).transform(scratch.arrow, run, "doc_id long, held_out boolean, score double, predicted int")
 
 
 def held_fold(folds: int = 3, held: int = 1) -> Column:
@@ -226,4 +227,4 @@ def keep_good(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataF
         for batch in batches:
             yield batch.filter(pa.array(_scores(model, batch.column(at)) >= 0.5))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.transform(scratch.arrow, run, docs.schema)

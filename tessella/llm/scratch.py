@@ -7,9 +7,13 @@ of an executor.
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,6 +21,34 @@ from pyspark.sql import functions as F
 SLOT_BITS = 19
 
 
+#: Bytes of one Arrow batch for a Python worker; long texts would make batches of many rows very large.
+BATCH_BYTES = 8 << 20
+
+
+def arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
+    """df.mapInArrow in batches of bounded size, by workers that give their free memory back after each task."""
+
+    def tidy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            trim()
+
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if df.sparkSession.conf.get(key) == "67108864b":  # its default
+        df.sparkSession.conf.set(key, f"{BATCH_BYTES}b")
+    return df.mapInArrow(tidy, schema)
+
+
+def trim() -> None:
+    """Return what this process has freed; workers live longer than tasks."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    release = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU C library
+    if release is not None:
+        release(0)
+
+
 def root(spark: SparkSession) -> str:
     """The shared folder of this cluster; a temporary one only in local mode without the setting."""
     sc = spark.sparkContext

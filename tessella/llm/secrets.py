@@ -30,6 +30,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessella.llm import scratch
+
 KINDS = ("assign", "access", "hex")
 #: Fixed patterns of the three kinds and the least lengths of their matches.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -246,4 +248,4 @@ def _run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def secrets(docs: DataFrame) -> DataFrame:
     """One row per document: counts of base spans, their digest, and all spans (code points of the text, end exclusive)."""
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(_run, _OUT)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).transform(scratch.arrow, _run, _OUT)
