@@ -7,8 +7,10 @@ Feistel network over the value's halves with a keyed SHA-512 round function,
 so it is a bijection: equal values get equal pseudonyms in every document, and
 different ones different. Values that fail validation are left alone.
 
-All of it is column expressions over one scan: the text is split at the
-candidates, each candidate is replaced, and the pieces are joined again.
+All of it is column expressions over one scan: the text is cut wherever a
+candidate can begin; at each place the kinds are tried at every length, the
+longest first, until one is valid; the valid ones that do not overlap, taken
+from the left, are replaced, and the pieces are joined again.
 
 Defined results: a null text stays null with counts of 0, an empty one stays
 empty; rows are independent, so repeated rows and a null doc_id are fine; other
@@ -33,9 +35,17 @@ PATTERNS = {
     "date": r"(?<![0-9A-Za-z./-])(?:(?:19|20)[0-9]{2}-[0-9]{2}-[0-9]{2}|[0-9]{1,2}[./][0-9]{1,2}[./](?:19|20)[0-9]{2})(?![0-9A-Za-z/-])",
     "ssn": r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])",
     "phone": r"(?<![0-9A-Za-z+])(?:\+[1-9][0-9]{0,2}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{2,4}(?:[ .-]?[0-9]{2,4}){1,4}|\(?[2-9][0-9]{2}\)?[ .-][0-9]{3}[ .-][0-9]{4})(?![0-9A-Za-z])",
-    "card": r"(?<![0-9A-Za-z.-])[2-6](?:[ -]?[0-9]){12,18}(?![0-9A-Za-z])",
+    "card": r"(?<![0-9A-Za-z.])(?<![^0-9]-)[2-6](?:[ -]?[0-9]){12,18}(?![0-9A-Za-z])",
 }
 _ANY = "|".join(PATTERNS.values())
+#: Where a candidate can begin; a number inside the name of an e-mail address is part of it.
+_MAIL_START = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]"
+#: How such a piece begins; it may be cut again behind its first sign or behind an @.
+_MAIL_PIECE = r"[A-Za-z0-9._%+-]+@(?:[A-Za-z0-9-]|$)"
+_START = rf"[0-9]|[+(](?:[0-9]|$)|[A-Z]{{2}}[0-9]{{2}}|{_MAIL_PIECE}"
+_CUT = rf"(?<![A-Za-z0-9])(?=[+(]?[0-9]|[A-Z]{{2}}[0-9]{{2}})(?![A-Za-z0-9._%+-]{{1,256}}@[A-Za-z0-9-])|(?<![A-Za-z0-9._%+-])(?={_MAIL_START})"
+#: Characters that hold the longest candidate but an e-mail, and pieces that hold the longest e-mail.
+_WINDOW, _MAIL_PIECES = 64, 256
 #: Days that dates may take, from 1900-01-01 to 2099-12-31, and a rectangle that holds them.
 _DAYS, _ROWS, _COLUMNS = 73_049, 271, 270
 
@@ -188,12 +198,32 @@ def _card(key: str, m: Column) -> tuple[Column, Column]:
 _RULES = {"email": _email, "iban": _iban, "ip": _ip, "date": _date, "ssn": _ssn, "phone": _phone, "card": _card}
 
 
-def _kind(key: str, m: Column) -> Column:
-    """The first kind that a candidate fits and whose validation it passes, else null."""
-    kind = F.lit(None).cast("string")
+def _forms(kind: str) -> list[str]:
+    """A kind's pattern by length, the longest first, so that a shorter candidate at the same place is tried too."""
+    if kind == "iban":
+        body = lambda n, r: r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){%d}" % n + (r" ?[A-Z0-9]{%d}" % r if r else "") + r"(?![A-Za-z0-9])"
+        return [body(n, r) for n in range(7, 1, -1) for r in (3, 2, 1, 0)]
+    if kind == "card":
+        return [PATTERNS["card"].replace("{12,18}", "{%d}" % n) for n in range(18, 11, -1)]
+    if kind == "phone":
+        # An end inside a longer hyphenated or dotted number comes after all others.
+        by = [PATTERNS["phone"].replace("{1,4}|", "{%d}|" % n) for n in range(4, 0, -1)]
+        return [f"{x}(?![.-][0-9])" for x in by] + by
+    return [PATTERNS[kind]]
+
+
+def _candidate(key: str, w: Column) -> Column:
+    """Kind and text of the first valid candidate that begins after the two characters of context, else null."""
+    out = F.lit(None).cast("struct<kind:string,text:string>")
     for name in reversed(KINDS):
-        kind = F.coalesce(F.when(m.rlike(f"^(?:{PATTERNS[name]})$"), F.when(_RULES[name](key, m)[0], F.lit(name))), kind)
-    return kind
+        out = F.coalesce(F.when(w.rlike(f"(?s)^..(?:{PATTERNS[name]})"), _first(key, name, w)), out)
+    return out
+
+
+def _first(key: str, name: str, w: Column) -> Column:
+    shapes = F.array(*[F.regexp_extract(w, f"(?s)^..({x})", 1) for x in _forms(name)])
+    fits = F.filter(shapes, lambda m: (m != "") & _RULES[name](key, m)[0])
+    return _let(fits, lambda f: F.when(F.size(f) > 0, F.struct(F.lit(name).alias("kind"), F.get(f, F.lit(0)).alias("text"))))
 
 
 def _fresh(key: str, kind: Column, m: Column) -> Column:
@@ -204,17 +234,54 @@ def _fresh(key: str, kind: Column, m: Column) -> Column:
     return out
 
 
+def _claims(key: str, pieces: Column) -> Column:
+    """Valid candidates from left to right that do not overlap: first piece, pieces touched, kind, text, what is left of the last piece."""
+
+    def of(p: Column, i: Column) -> Column:
+        follows = lambda n: F.array_join(F.slice(pieces, i + 1, F.lit(n)), "")
+        before = F.lpad(F.right(F.when(i > 0, F.array_join(F.slice(pieces, F.greatest(i - 1, F.lit(1)), F.least(i, F.lit(2))), "")).otherwise(F.lit("")), F.lit(2)), 2, "\n")
+        window = F.when(p.rlike(f"^(?:{_MAIL_PIECE})"), follows(_MAIL_PIECES)).when(F.length(p) >= _WINDOW, F.substring(p, 1, _WINDOW)).otherwise(F.substring(follows(_WINDOW), 1, _WINDOW))
+
+        def touched(c: Column) -> Column:
+            start = F.struct(F.length(c["text"]).alias("left"), F.lit(0).alias("n"))
+            step = lambda s, x: F.when(s["left"] > 0, F.struct((s["left"] - F.length(x)).alias("left"), (s["n"] + 1).alias("n"))).otherwise(s)
+            ends = F.aggregate(F.slice(pieces, i + 1, F.lit(_MAIL_PIECES)), start, step)
+            last = lambda e: F.right(F.get(pieces, i + e["n"] - 1), -e["left"])
+            return _let(ends, lambda e: F.struct(i.alias("at"), e["n"].alias("n"), c["kind"].alias("kind"), c["text"].alias("text"), F.when(e["left"] < 0, last(e)).otherwise(F.lit("")).alias("tail")))
+
+        return F.when(p.rlike(f"^(?:{_START})"), _let(_candidate(key, F.concat(before, window)), lambda c: F.when(c.isNotNull(), touched(c))))
+
+    def apart(found: Column) -> Column:
+        start = F.struct(F.slice(found, 1, 0).alias("out"), F.lit(0).alias("free"))
+        add = lambda s, c: F.when(c["at"] >= s["free"], F.struct(F.concat(s["out"], F.array(c)).alias("out"), (c["at"] + c["n"]).alias("free"))).otherwise(s)
+        return F.aggregate(found, start, add, lambda s: s["out"])
+
+    return _let(F.filter(F.transform(pieces, of), lambda c: c.isNotNull()), apart)
+
+
 def pseudonyms(docs: DataFrame, key: str) -> DataFrame:
     """doc_id, text with pseudonyms, n_found, and n_<kind> for each kind."""
-    rows = docs.select("doc_id", F.col("text").cast("string").alias("text")).withColumn("some", F.coalesce(F.col("text").rlike("[0-9@]"), F.lit(False)))
-    rows = rows.withColumn("found", F.when(F.col("some"), F.regexp_extract_all("text", F.lit(_ANY), 0)))
-    named = F.transform("found", lambda m: F.struct(m.alias("text"), _kind(key, m).alias("kind")))
-    fresh = F.transform(named, lambda x: F.struct(x["kind"].alias("kind"), _fresh(key, x["kind"], x["text"]).alias("text")))
-    rows = rows.withColumn("found", F.when(F.size("found") > 0, fresh))
-    between = F.split("text", _ANY)
-    joined = F.array_join(F.zip_with(between, "found", lambda a, b: F.concat(a, F.coalesce(b["text"], F.lit("")))), "")
-    text = F.when(F.col("found").isNotNull(), joined).otherwise(F.col("text"))
-    count = lambda c: F.coalesce(F.when(F.col("found").isNotNull(), F.size(c)), F.lit(0)).cast("long")
-    of = lambda k: F.filter("found", lambda x: x["kind"] == k)
-    counts = [count(of(k)).alias(f"n_{k}") for k in KINDS]
-    return rows.select("doc_id", text.alias("text"), count(F.filter("found", lambda x: x["kind"].isNotNull())).alias("n_found"), *counts)
+    rows = docs.select("doc_id", F.col("text").cast("string").alias("text")).withColumn("some", F.coalesce(F.col("text").rlike(_ANY), F.lit(False)))
+    rows = rows.withColumn("pieces", F.when(F.col("some"), F.split("text", _CUT)))
+    rows = rows.withColumn("claims", F.when(F.col("some"), _claims(key, F.col("pieces"))))
+
+    def gap(j: Column) -> Column:
+        """The text before claim j, or after the last one."""
+        last = F.get(F.col("claims"), j - 1)
+        begin = F.coalesce(last["at"] + last["n"], F.lit(0))
+        end = F.coalesce(F.get(F.col("claims"), j)["at"], F.size("pieces"))
+        return F.concat(F.coalesce(last["tail"], F.lit("")), F.array_join(F.slice("pieces", begin + 1, end - begin), ""))
+
+    gaps = F.transform(F.sequence(F.lit(0), F.size("claims")), lambda j: gap(j))
+    rows = rows.withColumn("gaps", F.when(F.col("some"), gaps))
+    # An e-mail name can begin in the middle of a run, right after a claim.
+    mails = lambda g: F.regexp_extract_all(g, F.lit(PATTERNS["email"]), 0)
+    renamed = lambda g: F.when(g.contains("@"), F.array_join(F.zip_with(F.split(g, PATTERNS["email"]), mails(g), lambda a, m: F.concat(a, F.coalesce(_email(key, m)[1], F.lit("")))), "")).otherwise(g)
+    fresh = F.transform("claims", lambda x: _fresh(key, x["kind"], x["text"]))
+    joined = F.array_join(F.zip_with(F.transform("gaps", renamed), fresh, lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
+    text = F.when(F.col("some"), joined).otherwise(F.col("text"))
+    late = F.aggregate("gaps", F.lit(0), lambda n, g: n + F.when(g.contains("@"), F.size(mails(g))).otherwise(0))
+    count = lambda c: F.coalesce(F.when(F.col("some"), c), F.lit(0)).cast("long")
+    of = lambda k: F.size(F.filter("claims", lambda x: x["kind"] == k))
+    counts = [count(of(k) + (late if k == "email" else 0)).alias(f"n_{k}") for k in KINDS]
+    return rows.select("doc_id", text.alias("text"), count(F.size("claims") + late).alias("n_found"), *counts)

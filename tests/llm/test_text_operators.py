@@ -317,6 +317,26 @@ def test_pseudonyms_keep_their_format(spark, odd, none):
     assert pii.pseudonyms(none, KEY).count() == 0
 
 
+def test_pseudonyms_inside_rejected_candidates(spark):
+    """A valid value followed or preceded by other digits or capitals is found."""
+    hidden = [
+        ("card 4111 1111 1111 1111 123", ["4111 1111 1111 1111"]),
+        ("card 4111 1111 1111 1111 12/27 x", ["4111 1111 1111 1111"]),
+        ("BE68 5390 0754 7034 BIC", ["5390 0754 7034"]),
+        ("+49 30 1234 5678 078-05-1120", ["30 1234 5678", "078-05-1120"]),
+        ("ID42 4111111111111111", ["4111111111111111"]),
+        ("5555-4111-1111-1111-1111 y", ["4111-1111-1111-1111"]),
+        ("4111 1111 1111 1111.bob@example.com", ["4111 1111 1111", "bob@"]),
+        ("jo.4111111111111111@example.com", ["jo.4111111111111111@"]),
+        ("mail bob@10.example.com", ["bob@"]),
+    ]
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(hidden)], "doc_id long, text string")
+    got = {r.doc_id: r for r in pii.pseudonyms(docs, KEY).collect()}
+    for i, (t, parts) in enumerate(hidden):
+        assert len(got[i].text) == len(t) and not any(p in got[i].text for p in parts), (t, got[i].text)
+    assert [got[i].n_found for i in range(9)] == [1, 1, 1, 2, 1, 1, 2, 1, 1]
+
+
 def test_pseudonyms_are_a_permutation(spark):
     """Small domains are met completely: every date of ten years and every address of one /22 stays apart from the others."""
     from pyspark.sql import functions as F
