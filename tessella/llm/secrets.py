@@ -2,8 +2,9 @@
 
 A worklist starts with the text itself. Each layer is scanned, then unwrapped:
 URL escapes and Unicode escapes are decoded in place, runs of base64 and
-hexadecimal digits that hold printable text or gzip/zlib data become layers of
-their own. New layers join the worklist until none is left; a layer seen
+hexadecimal digits that hold gzip/zlib data or bytes with enough ASCII
+characters in a row (in UTF-8, Latin-1, UTF-16 or among others) become layers
+of their own. New layers join the worklist until none is left; a layer seen
 before at the same place is not taken again, so data that unpack to themselves
 end. Spans found in a layer are mapped to the characters of the original text
 that encode them.
@@ -134,12 +135,18 @@ def _escape(m: re.Match) -> Iterator[tuple[int, int, str | None]]:
     yield m.start(), m.end(), chr(code) if code < 0x110000 and not 0xD800 <= code < 0xE000 else None
 
 
-def _printable(data: bytes) -> str | None:
-    try:
-        text = data.decode()
-    except UnicodeDecodeError:
-        return None
-    return text if text and all(c.isprintable() or c in "\t\r\n" for c in text) else None
+#: The shortest secret and the shortest encoded run that a text can hold take so many ASCII characters in a row.
+_ASCII = re.compile(rb"[\t\r\n\x20-\x7e]{14}")
+_WIDE = re.compile(rb"(?:[\t\r\n\x20-\x7e]\0){14}")
+
+
+def _texts(data: bytes) -> Iterator[str]:
+    """The texts that bytes may be and that can hold a secret: UTF-8 or another extension of ASCII, UTF-16 of both orders."""
+    if _ASCII.search(data):
+        yield data.decode("utf-8", "replace")
+    for parity, name in enumerate(("utf-16-le", "utf-16-be")):
+        if any(m.start() % 2 == parity for m in _WIDE.finditer(data)):
+            yield data.decode(name, "replace")
 
 
 def _inflate(data: bytes, room: int) -> bytes | None:
@@ -159,16 +166,23 @@ def _inflate(data: bytes, room: int) -> bytes | None:
     return out
 
 
-def _meaning(data: bytes, room: int) -> str | None:
-    """Text that bytes hold, through any number of compressed layers."""
+def _meaning(data: bytes, room: int) -> Iterator[str]:
+    """Texts that bytes hold, through any number of compressed layers."""
     seen = set()
     while (digest := hashlib.sha256(data).digest()) not in seen:
         seen.add(digest)
         inner = _inflate(data, room)
         if inner is None:
-            return _printable(data)
+            yield from _texts(data)
+            return
         data = inner
-    return None
+
+
+def _whole(layer: Layer, m: re.Match, text: str) -> Layer:
+    """A layer all of whose characters come from the whole match."""
+    start, end = layer.origin(m.start(), m.end())
+    text += "\n" if len(text) == end - start else ""
+    return Layer(text, [(0, start, end - start, len(text))])
 
 
 def _packed(layer: Layer, room: int) -> Iterator[Layer]:
@@ -181,13 +195,9 @@ def _packed(layer: Layer, room: int) -> Iterator[Layer]:
             data = base64.b64decode(run + "=" * (-len(run) % 4), validate=True)
         except binascii.Error:
             continue
-        if text := _meaning(data, room):
-            start, end = layer.origin(m.start(), m.end())
-            yield Layer(text, [(0, start, end - start, len(text))])
+        yield from (_whole(layer, m, text) for text in _meaning(data, room))
     for m in (m for a, b in layer.words for m in _HEXES.finditer(layer.text, a, b)):
-        if text := _meaning(bytes.fromhex(m[0]), room):
-            start, end = layer.origin(m.start(), m.end())
-            yield Layer(text, [(0, start, end - start, len(text))])
+        yield from (_whole(layer, m, text) for text in _meaning(bytes.fromhex(m[0]), room))
 
 
 def unwrap(text: str) -> tuple[list[tuple[int, int, int]], set[tuple[int, int, int]], int, bool]:

@@ -177,6 +177,15 @@ def test_wrapped_secret_is_found(wrap):
     assert any(kind == 0 and start == 6 and 6 < end <= 6 + len(inner) for start, kind, end in spans)
 
 
+@pytest.mark.parametrize("code", ["utf-8", "utf-8-sig", "utf-16", "utf-16-le", "utf-16-be", "latin-1"])
+@pytest.mark.parametrize("pack", [lambda b: base64.b64encode(b).decode(), lambda b: b.hex(), lambda b: base64.b64encode(gzip.compress(b)).decode()])
+def test_secret_in_other_texts(code, pack):
+    for around in ("clé\u00a0privée\u00ad", "nul\0 esc\x1b", "密码\u3000", "\U0001f469\u200d\U0001f4bb"):
+        if code != "latin-1" or max(around) < "\u0100":
+            inner = pack(f"{around} password=hunter2hunter2 {around}".encode(code))
+            assert (2, 0, 2 + len(inner)) in secrets.unwrap(f"x {inner} y")[1], (code, around)
+
+
 def test_self_containing_layers_end():
     text = SECRET
     for _ in range(12):
