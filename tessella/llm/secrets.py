@@ -19,7 +19,6 @@ one document; a document beyond it keeps the spans found so far and has
 from __future__ import annotations
 
 import base64
-import binascii
 import hashlib
 import re
 import zlib
@@ -44,10 +43,12 @@ LIMIT = 1 << 26
 
 _PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 _ESCAPE = re.compile(r"\\u\{([0-9A-Fa-f]{1,6})\}|\\u([0-9A-Fa-f]{4})|\\U([0-9A-Fa-f]{8})|\\x([0-9A-Fa-f]{2})|&#[xX]([0-9A-Fa-f]{1,6});|&#([0-9]{1,7});")
-_BASE64 = re.compile(r"(?:[A-Za-z0-9+/_-]{40,}\r?\n)*[A-Za-z0-9+/_-]{16,}={0,2}")
+#: Base64 in one line, or full lines and a last one of any length.
+_BASE64 = re.compile(r"(?:[A-Za-z0-9+/_-]{40,}\r?\n)+[A-Za-z0-9+/_-]*={0,2}|[A-Za-z0-9+/_-]{16,}={0,2}")
 #: Every long run of digits or base64 lies in one of these, and they are quickly found.
 _LONG = re.compile(r"[^ ]{16,}")
-_HEXES = re.compile(r"(?:[0-9A-Fa-f]{2}){12,}")
+_HEXES = re.compile(r"[0-9A-Fa-f]{24,}")
+_CUTS = re.compile(r"[+/]")
 
 
 def long_words(text: str) -> list[tuple[int, int]]:
@@ -149,14 +150,18 @@ def _texts(data: bytes) -> Iterator[str]:
             yield data.decode(name, "replace")
 
 
+def _compressed(data: bytes) -> int:
+    """The window bits to inflate data with, 0 for data that are not compressed."""
+    if data[:2] == b"\x1f\x8b":
+        return 31
+    return 15 if len(data) > 2 and data[0] == 0x78 and (data[0] * 256 + data[1]) % 31 == 0 else 0
+
+
 def _inflate(data: bytes, room: int) -> bytes | None:
     """The content of gzip or zlib data; None for others. Raises OverflowError beyond room."""
-    if data[:2] == b"\x1f\x8b":
-        worker = zlib.decompressobj(31)
-    elif len(data) > 2 and data[0] == 0x78 and (data[0] * 256 + data[1]) % 31 == 0:
-        worker = zlib.decompressobj(15)
-    else:
+    if not (bits := _compressed(data)):
         return None
+    worker = zlib.decompressobj(bits)
     try:
         out = worker.decompress(data, room + 1)
     except zlib.error:
@@ -187,17 +192,31 @@ def _whole(layer: Layer, m: re.Match, text: str) -> Layer:
 
 def _packed(layer: Layer, room: int) -> Iterator[Layer]:
     """The layers inside runs of base64 and hexadecimal digits."""
-    for m in (m for a, b in layer.words for m in _BASE64.finditer(layer.text, a, b)):
-        run = m[0].replace("\r", "").replace("\n", "").rstrip("=").replace("-", "+").replace("_", "/")
-        if len(run) % 4 == 1:
-            continue
-        try:
-            data = base64.b64decode(run + "=" * (-len(run) % 4), validate=True)
-        except binascii.Error:
-            continue
-        yield from (_whole(layer, m, text) for text in _meaning(data, room))
-    for m in (m for a, b in layer.words for m in _HEXES.finditer(layer.text, a, b)):
-        yield from (_whole(layer, m, text) for text in _meaning(bytes.fromhex(m[0]), room))
+    for pattern, decoded in ((_BASE64, _base64), (_HEXES, _hexes)):
+        for m in (m for a, b in layer.words for m in pattern.finditer(layer.text, a, b)):
+            for data in decoded(m[0]):
+                yield from (_whole(layer, m, text) for text in _meaning(data, room))
+
+
+def _base64(run: str) -> Iterator[bytes]:
+    """What a run may encode: at the four alignments, and compressed data behind any sign that ends a prefix."""
+    run = run.replace("\r", "").replace("\n", "").rstrip("=").replace("-", "+").replace("_", "/")
+
+    def decode(start: int, end: int) -> bytes:
+        # A last digit alone holds no byte.
+        end -= (end - start) % 4 == 1
+        return base64.b64decode(run[start:end] + "=" * (-(end - start) % 4))
+
+    for start in range(4):
+        yield decode(start, len(run))
+    for start in (m.end() for m in _CUTS.finditer(run)):
+        if _compressed(decode(start, min(len(run), start + 4))):
+            yield decode(start, len(run))
+
+
+def _hexes(run: str) -> Iterator[bytes]:
+    for start in range(2):
+        yield bytes.fromhex(run[start : len(run) - (len(run) - start) % 2])
 
 
 def unwrap(text: str) -> tuple[list[tuple[int, int, int]], set[tuple[int, int, int]], int, bool]:

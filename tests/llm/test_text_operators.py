@@ -186,6 +186,22 @@ def test_secret_in_other_texts(code, pack):
             assert (2, 0, 2 + len(inner)) in secrets.unwrap(f"x {inner} y")[1], (code, around)
 
 
+@pytest.mark.parametrize("width", [64, 76])
+def test_secret_at_the_end_of_wrapped_base64(width):
+    for n in range(60):
+        raw = base64.b64encode(b"k" * (90 + n) + b" password=hunter2hunter2").decode()
+        for end in ("\n", "\r\n"):
+            inner = end.join(raw[i : i + width] for i in range(0, len(raw), width))
+            assert (2, 0, 2 + len(inner)) in secrets.unwrap(f"x {inner} y")[1], n
+
+
+@pytest.mark.parametrize("before", ["https://x.com/r/", "a_", "ab-", "abc+", "abcd/", "1/22/333/"])
+@pytest.mark.parametrize("pack", [lambda b: b, zlib.compress, gzip.compress])
+def test_secret_behind_a_prefix(before, pack):
+    inner = before + base64.urlsafe_b64encode(pack(b"password=hunter2hunter2")).decode()
+    assert any(kind == 0 and end == 2 + len(inner) for _, kind, end in secrets.unwrap(f"x {inner} y")[1])
+
+
 def test_self_containing_layers_end():
     text = SECRET
     for _ in range(12):
