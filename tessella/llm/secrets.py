@@ -11,9 +11,11 @@ that encode them.
 
 Defined results: a null text counts as empty and has no spans; repeated rows
 give repeated results; a null doc_id stays null; only ``doc_id`` and ``text``
-are read. Unpacked layers are held in memory, LIMIT characters of them for
-one document; a document beyond it keeps the spans found so far and has
-``unpacked`` false.
+are read. Layers are visited depth first and let go. Compressed data are
+inflated as a stream and scanned in blocks that end outside of encoded runs; an
+encoded run of more than LIMIT bytes inside compressed data is cut there. A
+document whose distinct layers have more than WORK characters (a compressed
+bomb) keeps the spans found so far. Both have ``unpacked`` false.
 """
 
 from __future__ import annotations
@@ -23,8 +25,8 @@ import hashlib
 import re
 import zlib
 from bisect import bisect_right
-from collections import deque
 from collections.abc import Iterator
+from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -38,8 +40,14 @@ ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x2
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{32,}")
 _KEYWORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
-#: Characters of unpacked layers for one document: a guard against compressed bombs.
-LIMIT = 1 << 26
+#: Bytes of inflated data that are held and scanned at once, bytes that precede a block again, bytes without a cut at most.
+BLOCK, OVERLAP, LIMIT = 1 << 22, 1 << 12, 1 << 26
+#: Characters of distinct layers and inflated bytes of one document: a guard against compressed bombs.
+WORK = 1 << 32
+#: Compressed layers directly in each other, which data that inflate to themselves exceed.
+DEEP = 64
+#: A byte outside of encoded runs, and all before it.
+_CUT = re.compile(rb"(?s).*(?:[^A-Za-z0-9+/_=\-\r\n%\\&#;{}\0]|\0{4})")
 
 _PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 _ESCAPE = re.compile(r"\\u\{([0-9A-Fa-f]{1,6})\}|\\u([0-9A-Fa-f]{4})|\\U([0-9A-Fa-f]{8})|\\x([0-9A-Fa-f]{2})|&#[xX]([0-9A-Fa-f]{1,6});|&#([0-9]{1,7});")
@@ -157,30 +165,79 @@ def _compressed(data: bytes) -> int:
     return 15 if len(data) > 2 and data[0] == 0x78 and (data[0] * 256 + data[1]) % 31 == 0 else 0
 
 
-def _inflate(data: bytes, room: int) -> bytes | None:
-    """The content of gzip or zlib data; None for others. Raises OverflowError beyond room."""
-    if not (bits := _compressed(data)):
-        return None
-    worker = zlib.decompressobj(bits)
-    try:
-        out = worker.decompress(data, room + 1)
-    except zlib.error:
-        return None
-    if len(out) > room:
-        raise OverflowError
-    return out
+class Budget:
+    """What is left of a document's work, and whether all of it was done."""
 
+    def __init__(self):
+        self.left, self.whole = WORK, True
 
-def _meaning(data: bytes, room: int) -> Iterator[str]:
-    """Texts that bytes hold, through any number of compressed layers."""
-    seen = set()
-    while (digest := hashlib.sha256(data).digest()) not in seen:
-        seen.add(digest)
-        inner = _inflate(data, room)
-        if inner is None:
-            yield from _texts(data)
-            return
-        data = inner
+    def take(self, n: int) -> bool:
+        if n > self.left:
+            self.whole = False
+            return False
+        self.left -= n
+        return True
+
+
+def _inflated(data: Iterator[bytes], bits: int, budget: Budget) -> Iterator[bytes]:
+    """The content of gzip or zlib data, of all members, as far as it is sound."""
+    worker = zlib.decompressobj(bits)
+    for part in data:
+        while part:
+            try:
+                out = worker.decompress(part, BLOCK)
+            except zlib.error:
+                return
+            if out:
+                if not budget.take(len(out)):
+                    return
+                yield out
+            part = worker.unconsumed_tail
+            if worker.eof:
+                part = worker.unused_data
+                worker = zlib.decompressobj(bits)
+
+
+def _blocks(data: Iterator[bytes], budget: Budget) -> Iterator[bytes]:
+    """A stream in blocks that end outside of encoded runs; each begins an even number of bytes after the last, with some of its bytes."""
+    held = bytearray()
+    done = 0
+    for part in data:
+        held += part
+        while len(held) - done > BLOCK:
+            m = _CUT.match(held, done, len(held))
+            end = m.end() if m else 0
+            if not end and len(held) - done > LIMIT:
+                budget.whole, end = False, len(held) // 4 * 4
+            if not end:
+                break
+            yield bytes(held[:end])
+            m = _CUT.match(held, 0, max(0, end - OVERLAP))
+            begin = max(m.end() - 1 if m else 0, end - 2 * OVERLAP, 0) // 4 * 4
+            del held[:begin]
+            done = end - begin
+    if len(held) > done:
+        yield bytes(held)
+
+
+def _meaning(data: bytes, budget: Budget) -> Iterator[str]:
+    """Texts that bytes are, and those that they hold through any number of compressed layers."""
+    yield from _texts(data)
+    if not _compressed(data):
+        return
+    stream, head = iter((data,)), data
+    for _ in range(DEEP):
+        if not (bits := _compressed(head)):
+            break
+        stream = _inflated(stream, bits, budget)
+        head = b""
+        while len(head) < 3 and (part := next(stream, b"")):
+            head += part
+        stream = chain((head,), stream)
+    else:
+        budget.whole = budget.whole and not _compressed(head)
+    for block in _blocks(stream, budget):
+        yield from _texts(block)
 
 
 def _whole(layer: Layer, m: re.Match, text: str) -> Layer:
@@ -190,12 +247,12 @@ def _whole(layer: Layer, m: re.Match, text: str) -> Layer:
     return Layer(text, [(0, start, end - start, len(text))])
 
 
-def _packed(layer: Layer, room: int) -> Iterator[Layer]:
+def _packed(layer: Layer, budget: Budget) -> Iterator[Layer]:
     """The layers inside runs of base64 and hexadecimal digits."""
     for pattern, decoded in ((_BASE64, _base64), (_HEXES, _hexes)):
         for m in (m for a, b in layer.words for m in pattern.finditer(layer.text, a, b)):
             for data in decoded(m[0]):
-                yield from (_whole(layer, m, text) for text in _meaning(data, room))
+                yield from (_whole(layer, m, text) for text in _meaning(data, budget))
 
 
 def _base64(run: str) -> Iterator[bytes]:
@@ -219,40 +276,46 @@ def _hexes(run: str) -> Iterator[bytes]:
         yield bytes.fromhex(run[start : len(run) - (len(run) - start) % 2])
 
 
+def _inside(layer: Layer, budget: Budget) -> Iterator[Layer]:
+    """The layers inside a layer; it is let go before the last ones are visited."""
+    yield from _packed(layer, budget)
+    fresh = []
+    if "\\" in layer.text or "&#" in layer.text:
+        fresh.append(_in_place(layer, _ESCAPE, _escape))
+    if "%" in layer.text:
+        fresh.append(_in_place(layer, _PERCENT, _percent))
+    del layer
+    while fresh:
+        if (x := fresh.pop()) is not None:
+            yield x
+        del x
+
+
 def unwrap(text: str) -> tuple[list[tuple[int, int, int]], set[tuple[int, int, int]], int, bool]:
     """Base spans, all spans, the number of layers, and whether all of them were unpacked."""
     top = Layer(text, [(0, 0, len(text), len(text))])
     base = scan(text, top.words)
-    spans, seen, whole, used = set(base), set(), True, 0
-    work = deque([top])
+    spans, seen, budget = set(base), set(), Budget()
+    work = [iter((top,))]
     layers = 0
     while work:
-        layer = work.popleft()
+        layer = next(work[-1], None)
+        if layer is None:
+            work.pop()
+            continue
         mark = (layer.pieces[0][1:3], hashlib.sha256(layer.text.encode("utf-8", "surrogatepass")).digest())
         if mark in seen:
             continue
+        if layers and not budget.take(len(layer.text)):
+            continue
         seen.add(mark)
         layers += 1
         if layers > 1:
             for start, kind, end in scan(layer.text, layer.words):
                 a, b = layer.origin(start, end)
                 spans.add((a, kind, b))
-        fresh = []
-        if "%" in layer.text:
-            fresh.append(_in_place(layer, _PERCENT, _percent))
-        if "\\" in layer.text or "&#" in layer.text:
-            fresh.append(_in_place(layer, _ESCAPE, _escape))
-        try:
-            fresh += _packed(layer, LIMIT - used)
-        except OverflowError:
-            whole = False
-        for x in fresh:
-            if x is not None and used + len(x.text) <= LIMIT:
-                used += len(x.text)
-                work.append(x)
-            elif x is not None:
-                whole = False
-    return base, spans, layers, whole
+        work.append(_inside(layer, budget))
+    return base, spans, layers, budget.whole
 
 
 def _join(spans) -> str:
