@@ -184,5 +184,9 @@ class _Bitmap:
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents without any passage of the benchmark, all columns kept."""
-    gone = overlaps(docs, benchmark).where("doc_id is not null").select("doc_id").distinct()
-    return scratch.without(docs, scratch.materialize(gone, "contaminated"), "doc_id")
+
+    def one(rows: DataFrame) -> DataFrame:
+        gone = overlaps(rows, benchmark).select("doc_id").distinct()
+        return scratch.without(rows, scratch.materialize(gone, "contaminated"), "doc_id")
+
+    return scratch.by_row(docs, one, nulls_first=True)

@@ -179,6 +179,18 @@ def exact_groups(docs: DataFrame) -> DataFrame:
 
 
 def drop_copies(docs: DataFrame) -> DataFrame:
-    """The documents with one row of each group of equal texts, all columns kept."""
-    gone = exact_groups(docs).where("not kept and doc_id is not null").select("doc_id").distinct()
-    return scratch.without(docs, scratch.materialize(gone, "copies"), "doc_id")
+    """The documents with one row of each group of equal texts, all columns kept.
+
+    Rows without doc_id are a group of their own for each text.
+    """
+
+    def one(rows: DataFrame) -> DataFrame:
+        gone = exact_groups(rows).where("not kept").select("doc_id")
+        return scratch.without(rows, scratch.materialize(gone, "copies"), "doc_id")
+
+    def apart(rows: DataFrame) -> DataFrame:
+        if "__id" not in rows.columns:
+            return one(rows)
+        return one(rows.where("__id is not null")).unionByName(one(rows.where("__id is null")))
+
+    return scratch.by_row(docs, apart, nulls_first=True)

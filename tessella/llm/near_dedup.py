@@ -318,5 +318,9 @@ def near_groups(docs: DataFrame, percent: int = 80, width: int = 5) -> DataFrame
 
 def drop_near_copies(docs: DataFrame, percent: int = 80, width: int = 5) -> DataFrame:
     """The documents with one of each group of near duplicates, all columns kept."""
-    gone = near_groups(docs, percent, width).where("not kept").select("doc_id").distinct()
-    return scratch.without(docs, scratch.materialize(gone, "near-copies"), "doc_id")
+
+    def one(rows: DataFrame) -> DataFrame:
+        gone = near_groups(rows, percent, width).where("not kept").select("doc_id").distinct()
+        return scratch.without(rows, scratch.materialize(gone, "near-copies"), "doc_id")
+
+    return scratch.by_row(docs, one, nulls_first=False)

@@ -69,6 +69,23 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def by_row(docs: DataFrame, stage: Callable[[DataFrame], DataFrame], nulls_first: bool) -> DataFrame:
+    """stage(docs) with decisions that hold for single rows, where ids are null or repeated too.
+
+    If there are such ids, the stage sees row numbers instead of them, in the
+    order of the ids and written once; equal ids are in the order of their texts.
+    """
+    ids = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1 or doc_id is null")
+    if not ids.limit(1).count():
+        return stage(docs)
+    order = F.asc_nulls_first("doc_id") if nulls_first else F.asc_nulls_last("doc_id")
+    keys = [order, F.asc("__digest"), F.asc("__at")]
+    rows = docs.withColumn("__digest", F.sha2(F.coalesce(F.col("text").cast("string"), F.lit("")), 256)).withColumn("__at", F.monotonically_increasing_id())
+    rows = rows.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("__id", F.col("doc_id")).withColumn("doc_id", F.monotonically_increasing_id())
+    kept = stage(materialize(rows.drop("__digest", "__at"), "rows"))
+    return kept.withColumn("doc_id", F.col("__id")).select(docs.columns)
+
+
 def release(spark: SparkSession) -> None:
     """Delete this application's scratch tables; results that still read them become invalid."""
     path = spark._jvm.org.apache.hadoop.fs.Path(root(spark))

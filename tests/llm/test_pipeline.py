@@ -30,6 +30,26 @@ def test_run_drops_what_the_stages_reject(spark, small):
     assert len((good & alone) - leaked - kept) <= 0.03 * len(good)
 
 
+def test_decisions_hold_for_single_rows(spark):
+    """Ids that are null or stand for two texts neither save a row nor cost another one."""
+    from tessella.llm import decontamination, exact_dedup, near_dedup
+
+    long = " ".join(f"w{i}" for i in range(60))
+    bad = " ".join(f"b{i}" for i in range(20))
+    rows = [(1, long), (1, long), (1, "one of its own"), (2, bad), (2, "two of its own"), (None, bad), (None, bad), (None, long + " end"), (3, long)]
+    docs = spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id long, text string, key string")
+    items = spark.createDataFrame([(1, bad)], "item_id long, text string")
+
+    def kept(out):
+        assert out.columns == docs.columns
+        return sorted(((r.doc_id, r.text) for r in out.collect()), key=str)
+
+    own = [(1, "one of its own"), (2, "two of its own")]
+    assert kept(exact_dedup.drop_copies(docs)) == sorted([*own, (3, long), (2, bad), (None, bad), (None, long + " end")], key=str)
+    assert kept(near_dedup.drop_near_copies(docs)) == sorted([*own, (1, long), (2, bad)], key=str)
+    assert kept(decontamination.drop_contaminated(docs, items)) == sorted([*own, *[x for x in rows if x[1].startswith(long)]], key=str)
+
+
 def test_queries_have_sound_names():
     from tessella.llm import queries
 
