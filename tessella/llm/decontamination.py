@@ -1,8 +1,9 @@
 """Documents that hold passages of a benchmark, by spaced seeds and substitution-tolerant verification.
 
-Words are lower-cased and cut at spaces and ASCII punctuation. A passage leaks
+Words are lower-cased and cut at spaces, punctuation and symbols; in scripts
+that are written without spaces each character is a word. A passage leaks
 where WINDOW aligned words of a document and an item (all words of a shorter
-item) agree in at least 80 %. The masks of the spaced seeds ignore fixed word
+item, without exception below five words) agree in at least 80 %. The masks of the spaced seeds ignore fixed word
 positions; every way to substitute two words of a window leaves one mask
 intact somewhere in it, so no such window is missed. Hashes of both sides are
 joined and the words around each hit are compared.
@@ -11,8 +12,7 @@ The benchmark's seeds reach the corpus scan as a bitmap of bounded size; rows
 that pass it by chance fall out in the join. Each hit carries only the words
 of the windows around it.
 
-Defined results: null or empty texts and items of fewer than LEAST words give
-no rows; a null doc_id is reported as null; repeated rows count once; of both
+Defined results: null or empty texts and items without words give no rows; a null doc_id is reported as null; repeated rows count once; of both
 tables only the id and ``text`` are read.
 """
 
@@ -23,13 +23,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessella.llm import scratch
 from tessella.llm.textkit import PUNCTUATION, mix, texts_words
 
-WINDOW, LEAST, PERCENT = 13, 5, 80
+WINDOW, LEAST, PERCENT = 13, 1, 80
+#: Separators beyond ASCII, and characters of scripts without spaces with their marks.
+#: The range comes first in each class: it is quickly looked up, and most characters fall out there.
+_BEYOND = r"[[^\x00-\x7fÀ-ÖØ-öø-ʯ]&&[\p{P}\p{S}\p{Z}\p{C}]]"
+_UNSPACED = r"([[฀-\x{3ffff}]&&[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsBopomofo}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}\p{IsTibetan}]][\p{M}]*+)"
 #: Fixed masks: together they survive any two substitutions in WINDOW words.
 MASKS = ("11101011", "11001111")
 SPAN = 2 * WINDOW - 1
@@ -140,8 +144,14 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _spaced(text: Column) -> Column:
+    """A text whose words the ASCII separators part."""
+    apart = F.when(text.rlike(r"[฀-\x{3ffff}]"), F.regexp_replace(text, _UNSPACED, " $1 ")).otherwise(text)
+    return F.when(text.rlike(r"[^\x00-\x7fÀ-ÖØ-öø-ʯ]"), F.regexp_replace(apart, _BEYOND, " ")).otherwise(text)
+
+
 def _rows(table: DataFrame, key: str) -> DataFrame:
-    return table.select(F.col(key).cast("long").alias("id"), F.lower(F.col("text").cast("string")).alias("text")).where("text is not null and text <> ''")
+    return table.select(F.col(key).cast("long").alias("id"), _spaced(F.lower(F.col("text").cast("string"))).alias("text")).where("text is not null and text <> ''")
 
 
 def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

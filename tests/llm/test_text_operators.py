@@ -61,6 +61,23 @@ def test_overlaps_odd(spark, odd, none, small):
     assert out.columns == odd.columns and {r.doc_id for r in out.collect()} == {1, 2, 3, 4, 5, 11, None}
 
 
+def test_overlaps_without_spaces_and_of_few_words(spark):
+    items = [(1, "水的沸点在一个标准大气压下是多少摄氏度？请选择答案。"), (2, "日本の首都はどこですか"), (3, "ประเทศไทยมีเมืองหลวงชื่ออะไร"), (4, "Who wrote Hamlet?"), (5, "Zyzzyva"), (6, "「Где живёт белый медведь сегодня？」"), (7, "？。")]
+    docs = {
+        1: "前文没有空格" + items[0][1] + "后文",
+        2: "質問：日本の首都はどこですか、と聞いた。",
+        3: "คำถาม" + items[2][1] + "ครับ",
+        4: "Quiz: who wrote “Hamlet”…",
+        5: "a zyzzyva is a weevil",
+        6: "Он спросил—где живёт белый медведь сегодня…",
+        7: "who wrote a hamlet, zyzzyvas 日本の首都 ？。",
+        8: items[0][1].replace("沸", "冰"),
+    }
+    d = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in decontamination.overlaps(d, spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert got == {(i, i) for i in range(1, 7)} | {(8, 1)}
+
+
 # Packing.
 
 
