@@ -31,9 +31,9 @@ from tessella.llm.textkit import PUNCTUATION, mix, texts_words
 
 WINDOW, LEAST, PERCENT = 13, 1, 80
 #: Separators beyond ASCII, and characters of scripts without spaces with their marks.
-#: The range comes first in each class: it is quickly looked up, and most characters fall out there.
-_BEYOND = r"[[^\x00-\x7fÀ-ÖØ-öø-ʯ]&&[\p{P}\p{S}\p{Z}\p{C}]]"
-_UNSPACED = r"([[฀-\x{3ffff}]&&[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsBopomofo}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}\p{IsTibetan}]][\p{M}]*+)"
+#: Separators beyond ASCII, and characters of scripts without spaces with their marks.
+_BEYOND = r"[\p{P}\p{S}\p{Z}\p{C}&&[^\x00-\x7f]]"
+_UNSPACED = r"([\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsBopomofo}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}\p{IsTibetan}][\p{M}]*+)"
 #: Fixed masks: together they survive any two substitutions in WINDOW words.
 MASKS = ("11101011", "11001111")
 SPAN = 2 * WINDOW - 1
@@ -146,8 +146,7 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _spaced(text: Column) -> Column:
     """A text whose words the ASCII separators part."""
-    apart = F.when(text.rlike(r"[฀-\x{3ffff}]"), F.regexp_replace(text, _UNSPACED, " $1 ")).otherwise(text)
-    return F.when(text.rlike(r"[^\x00-\x7fÀ-ÖØ-öø-ʯ]"), F.regexp_replace(apart, _BEYOND, " ")).otherwise(text)
+    return F.when(text.rlike(r"[^\x00-\x7f]"), F.regexp_replace(F.regexp_replace(text, _BEYOND, " "), _UNSPACED, " $1 ")).otherwise(text)
 
 
 def _rows(table: DataFrame, key: str) -> DataFrame:
