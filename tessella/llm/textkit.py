@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -52,13 +52,15 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw, offsets - offsets[0]
 
 
-def words(raw: np.ndarray, offsets: np.ndarray, space: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Begin and end of each word of lower-cased bytes, and the number of words before each text."""
+def words(raw: np.ndarray, offsets: np.ndarray, space: np.ndarray = SPACE, breaks: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Begin and end of each word of lower-cased bytes, and the number of words before each text; a word also ends in front of each place of breaks."""
     solid = ~space[raw]
     before = np.empty_like(solid)
     before[1:] = solid[:-1]
     inner = offsets[:-1][offsets[:-1] < len(raw)]
     before[inner] = False
+    if breaks is not None:
+        before[breaks] = False
     if len(before):
         before[0] = False
     begin = np.flatnonzero(solid & ~before)
@@ -68,6 +70,8 @@ def words(raw: np.ndarray, offsets: np.ndarray, space: np.ndarray = SPACE) -> tu
         after[-1] = False
     last = inner[inner > 0] - 1
     after[last] = False
+    if breaks is not None:
+        after[breaks[breaks > 0] - 1] = False
     end = np.flatnonzero(solid & ~after) + 1
     return begin, end, np.searchsorted(begin, offsets)
 
@@ -87,14 +91,68 @@ def word_hashes(raw: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarr
     return out
 
 
-def texts_words(column: pa.Array, space: np.ndarray = SPACE) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """Slices [i, j) of a column with the word hashes of their lower-cased texts and the words before each text."""
+_SEPARATOR, _UNSPACED, _MARK = 1, 2, 4
+_classes: np.ndarray | None = None
+
+
+def _class_of() -> np.ndarray:
+    """Flags of each code point: separators, characters of scripts without spaces, marks."""
+    global _classes
+    if _classes is None:
+        import regex
+
+        codes = [*range(0xD800), *range(0xE000, 0x110000)]
+        every = "".join(map(chr, codes))
+        table = np.zeros(len(codes), np.uint8)
+        scripts = "".join(rf"\p{{Script={x}}}" for x in ("Han", "Hiragana", "Katakana", "Bopomofo", "Thai", "Lao", "Khmer", "Myanmar", "Tibetan"))
+        for flag, pattern in ((_SEPARATOR, r"[\p{P}\p{S}\p{Z}\p{C}]+"), (_UNSPACED, f"[{scripts}]+"), (_MARK, r"\p{M}+")):
+            for m in regex.finditer(pattern, every):
+                table[m.start() : m.end()] |= flag
+        table[(table & _SEPARATOR) > 0] = _SEPARATOR
+        _classes = np.zeros(0x110000, np.uint8)
+        _classes[codes] = table
+    return _classes
+
+
+def of_all_scripts(raw: np.ndarray) -> np.ndarray | None:
+    """Blank the separators beyond ASCII in UTF-8 bytes; where words begin and end in scripts without spaces, a character (with its marks) each."""
+    at = np.flatnonzero(raw >= 0xC0)
+    if not len(at):
+        return None
+    lead = raw[at].astype(np.uint32)
+    size = 2 + (lead >= 0xE0) + (lead >= 0xF0)
+    code = lead & (np.uint32(0x7F) >> size.astype(np.uint32))
+    for k in (1, 2, 3):
+        more = size > k
+        code[more] = code[more] << np.uint32(6) | (raw[at[more] + k] & 0x3F)
+    flag = _class_of()[np.minimum(code, 0x10FFFF)]
+    blank = (flag & _SEPARATOR) > 0
+    for k in range(4):
+        raw[at[blank & (size > k)] + k] = 0x20
+    plain = (flag & _UNSPACED) > 0
+    if not plain.any():
+        return None
+    adjacent = np.zeros(len(at), bool)
+    adjacent[1:] = at[:-1] + size[:-1] == at[1:]
+    joined = ((flag & _MARK) > 0) & adjacent
+    base = np.maximum.accumulate(np.where(joined, 0, np.arange(len(at))))
+    joined &= plain[base]
+    ends = (at + size)[plain | joined]
+    return np.setdiff1d(np.concatenate((at[plain], ends[ends < len(raw)])), at[joined])
+
+
+def texts_words(column: pa.Array, space: np.ndarray = SPACE, prepare: Callable[[np.ndarray], np.ndarray | None] | None = None) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Slices [i, j) of a column with the word hashes of their lower-cased texts and the words before each text.
+
+    prepare may change the bytes of a slice and returns places where words end.
+    """
     raw, offsets = utf8(column)
     i, n = 0, len(offsets) - 1
     while i < n:
         j = max(i + 1, int(np.searchsorted(offsets, offsets[i] + BLOCK, "right")) - 1)
         part = LOWER[raw[offsets[i] : offsets[j]]]
-        begin, end, first = words(part, offsets[i : j + 1] - offsets[i], space)
+        breaks = prepare(part) if prepare else None
+        begin, end, first = words(part, offsets[i : j + 1] - offsets[i], space, breaks)
         yield i, j, word_hashes(part, begin, end), first
         i = j
 

@@ -78,6 +78,48 @@ def test_overlaps_without_spaces_and_of_few_words(spark):
     assert got == {(i, i) for i in range(1, 7)} | {(8, 1)}
 
 
+def every_window(docs, items):
+    """(doc, item) -> (best, first word, last word), by all windows of all pairs."""
+    import regex
+
+    cut = lambda t: regex.findall(r"[^\p{P}\p{S}\p{Z}\p{C}]+", (t or "").lower())
+    numbers = {}
+    coded = lambda t: np.array([numbers.setdefault(w, len(numbers)) for w in cut(t)], np.int64)
+    out = {}
+    whole = [(i, coded(t)) for i, t in items]
+    for d, t in docs:
+        own = coded(t)
+        for i, item in whole:
+            w = min(len(item), decontamination.WINDOW)
+            if not w or len(own) < w:
+                continue
+            same = own[:, None] == item[None, :]
+            got = sum(same[k : len(own) - w + 1 + k, k : len(item) - w + 1 + k].astype(int) for k in range(w))
+            at = np.flatnonzero((got >= decontamination.needed(w)).any(axis=1))
+            if len(at):
+                out[d, i] = (int(got.max()), int(at[0]), int(at[-1]) + w - 1)
+    return out
+
+
+def test_overlaps_against_all_windows(spark, small):
+    docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{small}/documents.parquet").collect()]
+    items = [(r.item_id, r.text) for r in spark.read.parquet(f"{small}/benchmark.parquet").collect()]
+    rng = np.random.default_rng(6)
+    # Items of every number of words, with and without substitutions in the documents; equal items; stock phrases in many.
+    for n in range(1, 16):
+        words = [f"short{n}x{k}" for k in range(n)]
+        items += [(1000 + n, " ".join(words)), (2000 + n, " ".join(words)), (3000 + n, "in the end of the day " + " ".join(words[:n]))]
+        for k in range(4):
+            changed = list(words)
+            for at in rng.permutation(n)[:k]:
+                changed[at] = "other"
+            docs.append((10_000 + 10 * n + k, " ".join(["in the end of the day", *changed, "in the end"])))
+    d = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
+    got = {(r.doc_id, r.item_id): (r.matched, r.first_word, r.last_word) for r in decontamination.overlaps(d, spark.createDataFrame(items, "item_id long, text string")).collect()}
+    want = every_window(docs, items)
+    assert got == want
+
+
 # Packing.
 
 
