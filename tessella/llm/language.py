@@ -10,9 +10,11 @@ The prototypes are learned from SAMPLE labelled documents (expected number),
 chosen by a hash of doc_id; with fewer all are used. Whole texts are read.
 
 Defined results: a text that is null, empty or without letters is ``und`` with
-score 0, and so is every text when nothing can be learned; equal cosines go to
-the language that comes first in order; rows are independent, so repeated rows
-and a null doc_id are fine; other columns are not read.
+score 0, and so is every text when nothing can be learned; one letter is
+enough for a language; equal cosines go to the language that comes first in
+order; texts are read whole, however long, in blocks of BLOCK code points;
+rows are independent, so repeated rows and a null doc_id are fine; an empty
+table gives an empty result; other columns are not read and cannot clash.
 """
 
 from __future__ import annotations
@@ -78,7 +80,7 @@ class Trigrams:
 
     @staticmethod
     def count(text: str) -> tuple[np.ndarray, np.ndarray]:
-        """Distinct trigrams of letters and single gaps, and how often they occur."""
+        """Distinct trigrams of letters and single gaps, and how often they occur; a text begins and ends with a gap."""
         parts, tail = [], np.zeros(1, np.uint64)
         for i in range(0, len(text), BLOCK):
             codes = np.concatenate((tail, _Letters.of(text[i : i + BLOCK]).astype(np.uint64)))
@@ -86,6 +88,8 @@ class Trigrams:
             tail = codes[-2:]
             ids = codes[:-2] << np.uint64(42) | codes[1:-1] << np.uint64(21) | codes[2:]
             parts.append(np.unique(ids, return_counts=True))
+        if len(tail) == 2 and tail[1]:
+            parts.append((tail[:1] << np.uint64(42) | tail[1:] << np.uint64(21), np.ones(1, np.int64)))
         if len(parts) == 1:
             return parts[0]
         if not parts:
