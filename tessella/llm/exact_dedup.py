@@ -8,10 +8,15 @@
 3. Rows whose bit is clear are unique and finished. The texts of the others,
    the suspects, are shuffled and compared byte for byte.
 
+Owners grow with the rows, so that each holds a bounded number of fingerprints.
+Rows of large groups (a bounded number of them) find their group by a broadcast
+and are not dealt by its digest.
+
 Defined results: a null text counts as empty, empty texts equal one another;
 of equal texts the largest doc_id stays (a null doc_id never stays beside
-another); rows that repeat both doc_id and text all point at that doc_id;
-only ``doc_id`` and ``text`` are read, so other columns cannot clash.
+another); rows that repeat both doc_id and text all point at that doc_id; texts
+are hashed and compared whole, however long; an empty table gives an empty
+result; only ``doc_id`` and ``text`` are read, so other columns cannot clash.
 """
 
 from __future__ import annotations
@@ -30,7 +35,11 @@ from tessella.llm.textkit import mix
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Rows of one block; a block's bitmaps and lists are held in memory together.
-BLOCK_ROWS = 1 << 16
+BLOCK_ROWS = 1 << 18
+#: Fingerprints that one owner is expected to hold at most; it sorts them in memory.
+OWNER_ROWS = 1 << 22
+#: A group of equal texts beyond this number of rows, and beyond one row in 2**LARGE_BITS, is large: there are 2**LARGE_BITS at most.
+LARGE_ROWS, LARGE_BITS = 64, 16
 #: Bits of a fingerprint beyond log2 of the number of rows: one row in 2**SPARE becomes a false suspect.
 SPARE_BITS = 12
 
@@ -148,7 +157,7 @@ def digests(docs: DataFrame, owners: int | None = None) -> DataFrame:
     spark = docs.sparkSession
     rows = docs.count()
     bits = min(64, max(24, rows.bit_length() + SPARE_BITS))
-    owners = owners or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    owners = owners or max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // OWNER_ROWS))
     normal = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _normal(F.col("text")).alias("t"))
     keyed = normal.select("doc_id", F.xxhash64("t").alias("fp"), F.unhex(F.sha2("t", 256)).alias("digest"))
     blocks = scratch.materialize(keyed.transform(scratch.arrow, _blocks(bits, owners), _BLOCKS), "fingerprints")
@@ -171,7 +180,15 @@ def exact_groups(docs: DataFrame) -> DataFrame:
     # Equal digests of unequal bytes would give one digest two groups; those rows go by their bytes.
     groups = scratch.materialize(groups.select(F.unhex(F.sha2("t", 256)).alias("digest"), "keep_id", "group_size", F.xxhash64(F.lit(1), "t").alias("check")), "groups")
     per = groups.groupBy("digest").agg(F.count(F.lit(1)).alias("variants"), F.max("keep_id").alias("keep_id"), F.max("group_size").alias("group_size"))
-    clean = suspects.join(per.where("variants = 1").select("digest", "keep_id", "group_size"), "digest").select("doc_id", "keep_id", "group_size", (F.col("doc_id").eqNullSafe(F.col("keep_id"))).alias("kept"), sha)
+    per = scratch.materialize(per, "per-digest")
+    # Rows of large groups meet them where they are; only rows of small ones are dealt by their digest.
+    bound = F.lit(max(LARGE_ROWS, suspects.count() >> LARGE_BITS))
+    single = per.where("variants = 1").select("digest", "keep_id", "group_size")
+    large = F.broadcast(single.where(F.col("group_size") > bound))
+    met = suspects.join(large.withColumnRenamed("digest", "of"), F.col("digest") == F.col("of"), "left")
+    rest = met.where("of is null").select("doc_id", "digest").join(single.where(F.col("group_size") <= bound), "digest")
+    shown = ["doc_id", "keep_id", "group_size", (F.col("doc_id").eqNullSafe(F.col("keep_id"))).alias("kept"), sha]
+    clean = met.where("of is not null").select(shown).unionByName(rest.select(shown))
     odd = per.where("variants > 1").select("digest")
     by_bytes = texts.withColumn("digest", F.unhex(F.sha2("t", 256))).join(odd, "digest", "left_semi").withColumn("check", F.xxhash64(F.lit(1), "t"))
     clashing = by_bytes.join(groups, ["digest", "check"]).select("doc_id", "keep_id", "group_size", (F.col("doc_id").eqNullSafe(F.col("keep_id"))).alias("kept"), sha)

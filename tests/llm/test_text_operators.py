@@ -363,6 +363,14 @@ def test_trigrams_over_blocks(monkeypatch):
     assert (want[0] == got[0]).all() and (want[1] == got[1]).all()
 
 
+def test_one_letter_has_a_language(spark):
+    docs = spark.createDataFrame([(i, t, None) for i, t in enumerate(["a", "7 b", "ab", "é", "7", " \n", "", None])], "doc_id long, text string, lang string")
+    learned = language.learn(spark.read.parquet("/root/testdata/sf0.001/documents.parquet"))
+    got = {r.doc_id: (r.lang_pred, r.score) for r in language.predict(docs, learned, pages_extra() == "y").collect()}
+    assert all(got[i][0] in learned for i in range(4)) and all(got[i] == ("und", 0.0) for i in range(4, 8))
+    assert language.Trigrams.count("ab")[1].sum() == 2 and language.Trigrams.count("ab ")[1].sum() == 2
+
+
 def test_quality_held_out(spark, odd, none, labels):
     docs, marks = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
     rows = quality.classify(docs, marks).join(marks, "doc_id").collect()
@@ -475,3 +483,22 @@ def test_rotation(spark):
     assert r.text[a:b] == "Hi<|im_end|>" and r.n_learned == b - a and r.n_turns == 3
     assert got[1, "bob", 1].mask == "" and got[1, "ann", 1].n_turns == 2 and got[1, "ann", 1].mask.count("-") == 2
     assert chat.rotate(table.where("false")).count() == 0
+
+
+def test_rotation_of_large_segments(spark):
+    """Turns without number, repeated numbers and equal rows are dealt to parts; long texts and ties as in SQL."""
+    import duckdb
+
+    rows = [(1, None, f"s{i % 3}", f"text {i % 50}") for i in range(700)] + [(1, 5, "ann", "same")] * 600 + [(None, i % 2, "bob", f"b{i}") for i in range(400)]
+    rows += [(2, i, "ann" if i % 2 else "cy", "long " * 20_000) for i in range(3)] + [(3, 1, "x", "tie"), (3, 1, "x", "tie"), (3, 1, "x", None)]
+    table = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(7)
+    got = chat.rotate(table).toPandas()
+    assert got.n_turns.max() == chat.PART and set(got.part[got.conv_id == 1]) == {0, 1, 2}
+    frame = table.toPandas().astype({"conv_id": "Int64", "turn": "Int64"})
+    con = duckdb.connect()
+    con.register("conversations", frame)
+    want = con.sql(chat.oracle()).df()
+    import pandas as pd
+
+    plain = lambda f: sorted(tuple("null" if pd.isna(x) else str(int(x)) if isinstance(x, float) else str(x) for x in r) for r in f[sorted(f.columns)].itertuples(index=False))
+    assert plain(got) == plain(want)
