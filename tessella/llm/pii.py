@@ -2,19 +2,30 @@
 
 A value that passes its validation is permuted under a key within its format:
 digits stay digits, separators stay where they are, card numbers keep a valid
-Luhn digit and IBANs valid check digits, dates stay dates. Each kind is a
-Feistel network over the value's halves with a keyed SHA-512 round function,
-so it is a bijection: equal values get equal pseudonyms in every document, and
-different ones different. Values that fail validation are left alone.
+Luhn digit and IBANs valid check digits, phones their country code, dates stay
+dates. Each kind is a Feistel network over the value's halves with a keyed
+SHA-512 round function, so it is a bijection: equal values get equal pseudonyms
+in every document, and different ones different. Values that fail validation
+are left alone.
+
+Numbers are read before they are permuted: a phone with a country code and the
+same one in national form, or with other separators, stay linked, and so do
+the ways to write a date. Days up to the 12th and days beyond it are permuted
+among themselves, so that a pseudonym is read in the order in which the date
+was written, and two dates never become one text.
 
 All of it is column expressions over one scan: the text is cut wherever a
 candidate can begin; at each place the kinds are tried at every length, the
 longest first, until one is valid; the valid ones that do not overlap, taken
-from the left, are replaced, and the pieces are joined again.
+from the left, are replaced, and the pieces are joined again. No expression
+backtracks over more than a candidate, so the time grows with the text's length.
 
 Defined results: a null text stays null with counts of 0, an empty one stays
-empty; rows are independent, so repeated rows and a null doc_id are fine; other
-columns are not read.
+empty; a text is read whole, however long (names of e-mail addresses up to 256
+characters, four times what mail allows); of candidates that begin at one place
+the first kind in the order of KINDS wins, and of its lengths the longest; rows
+are independent, so repeated rows and a null doc_id are fine; an empty table
+gives an empty result; other columns are not read and cannot clash.
 """
 
 from __future__ import annotations
@@ -29,7 +40,7 @@ ROUNDS = 8
 _OCTET = "(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 #: Candidates of each kind; what validation rejects stays as it is.
 PATTERNS = {
-    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
+    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@(?=[A-Za-z0-9-])[A-Za-z0-9.-]*\.[A-Za-z]{2,}",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     "ip": rf"(?<![0-9A-Za-z.]){_OCTET}(?:\.{_OCTET}){{3}}(?!\.?[0-9A-Za-z])",
     "date": r"(?<![0-9A-Za-z./-])(?:(?:19|20)[0-9]{2}-[0-9]{2}-[0-9]{2}|[0-9]{1,2}[./][0-9]{1,2}[./](?:19|20)[0-9]{2})(?![0-9A-Za-z/-])",
@@ -39,15 +50,23 @@ PATTERNS = {
 }
 _ANY = "|".join(PATTERNS.values())
 #: Where a candidate can begin; a number inside the name of an e-mail address is part of it.
-_MAIL_START = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]"
+_MAIL_START = r"[A-Za-z0-9._%+-]++@[A-Za-z0-9-]"
 #: How such a piece begins; it may be cut again behind its first sign or behind an @.
-_MAIL_PIECE = r"[A-Za-z0-9._%+-]+@(?:[A-Za-z0-9-]|$)"
+_MAIL_PIECE = r"[A-Za-z0-9._%+-]++@(?:[A-Za-z0-9-]|$)"
 _START = rf"[0-9]|[+(](?:[0-9]|$)|[A-Z]{{2}}[0-9]{{2}}|{_MAIL_PIECE}"
-_CUT = rf"(?<![A-Za-z0-9])(?=[+(]?[0-9]|[A-Z]{{2}}[0-9]{{2}})(?![A-Za-z0-9._%+-]{{1,256}}@[A-Za-z0-9-])|(?<![A-Za-z0-9._%+-])(?={_MAIL_START})"
+_CUT = rf"(?<![A-Za-z0-9])(?=[+(]?[0-9]|[A-Z]{{2}}[0-9]{{2}})(?![A-Za-z0-9._%+-]{{1,256}}+@[A-Za-z0-9-])|(?<![A-Za-z0-9._%+-])(?={_MAIL_START})"
 #: Characters that hold the longest candidate but an e-mail, and pieces that hold the longest e-mail.
 _WINDOW, _MAIL_PIECES = 64, 256
-#: Days that dates may take, from 1900-01-01 to 2099-12-31, and a rectangle that holds them.
-_DAYS, _ROWS, _COLUMNS = 73_049, 271, 270
+#: Years that dates may take; how many of their days come after the 12th of a month, and a rectangle that holds those.
+_FIRST_YEAR, _YEARS = 1900, 200
+_LATE_DAYS, _ROWS, _COLUMNS = 44_249, 210, 211
+#: Lengths of IBANs by country, and country calling codes of two digits (1 and 7 have one, all others three).
+IBAN_LENGTHS = (
+    "AD24 AE23 AL28 AT20 AZ28 BA20 BE16 BG22 BH22 BI27 BR29 BY28 CH21 CR22 CY28 CZ24 DE22 DJ27 DK18 DO28 EE20 EG29 ES24 FI18 FK18 FO18 FR27 GB22 GE22 GI23 GL18 GR27 GT28 "
+    "HN28 HR21 HU28 IE22 IL23 IQ23 IS26 IT27 JO30 KW30 KZ20 LB28 LC32 LI21 LT20 LU20 LV21 LY25 MC27 MD24 ME22 MK19 MN20 MR27 MT31 MU30 NI28 NL18 NO15 OM23 PK24 PL28 PS29 PT25 "
+    "QA29 RO24 RS22 RU33 SA24 SC31 SD18 SE24 SI19 SK24 SM27 SO23 ST25 SV28 TL23 TN24 TR26 UA29 VA22 VG24 XK20 YE30"
+)
+CALLING_CODES = "20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86 90 91 92 93 94 95 98"
 
 
 def _let(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -83,14 +102,15 @@ def _letters(key: str, kind: str, value: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(0), F.lit(ROUNDS - 1)), start, turn, lambda s: F.concat(s["l"], s["r"]))
 
 
-def _rectangle(key: str, kind: str, left: Column, right: Column, rows: int, columns: int, done: Callable[[Column], Column]) -> Column:
-    """A pair of numbers below rows and columns, permuted; done makes the result of the pair."""
+def _rectangle(key: str, kind: str, left: Column, right: Column, rows: int | Column, columns: int | Column, done: Callable[[Column], Column], *tweak: Column) -> Column:
+    """A pair of numbers below rows and columns, permuted in a way that depends on tweak; done makes the result of the pair."""
+    size = lambda n: n if isinstance(n, Column) else F.lit(n)
     start = F.struct(left.cast("long").alias("l"), right.cast("long").alias("r"))
 
     def turn(s: Column, i: Column) -> Column:
         even = i % 2 == 0
-        by = lambda other: _number(F.substring(_digest(key, kind, i, other), F.lit(1), F.lit(12)))
-        return F.struct(F.when(even, F.pmod(s["l"] + by(s["r"]), F.lit(rows))).otherwise(s["l"]).alias("l"), F.when(even, s["r"]).otherwise(F.pmod(s["r"] + by(s["l"]), F.lit(columns))).alias("r"))
+        by = lambda other: _number(F.substring(_digest(key, kind, i, other, *tweak), F.lit(1), F.lit(12)))
+        return F.struct(F.when(even, F.pmod(s["l"] + by(s["r"]), size(rows))).otherwise(s["l"]).alias("l"), F.when(even, s["r"]).otherwise(F.pmod(s["r"] + by(s["l"]), size(columns))).alias("r"))
 
     return F.aggregate(F.sequence(F.lit(0), F.lit(ROUNDS - 1)), start, turn, done)
 
@@ -131,7 +151,9 @@ def _iban(key: str, m: Column) -> tuple[Column, Column]:
     country, body = F.substring(plain, 1, 2), F.substring(plain, F.lit(5), F.length(plain))
     check = lambda fresh: F.lpad((98 - _remainder(F.concat(fresh, country, F.lit("00")))).cast("string"), 2, "0")
     whole = _let(_letters(key, "iban", body), lambda fresh: F.concat(country, check(fresh), fresh))
-    return _remainder(F.concat(body, country, F.substring(plain, 3, 2))) == 1, _let(whole, lambda w: _refill(m, w, "[0-9A-Z]"))
+    wanted = F.element_at(F.create_map(*[F.lit(x) for c in IBAN_LENGTHS.split() for x in (c[:2], int(c[2:]))]), country)
+    sound = (F.length(plain) == F.coalesce(wanted, F.length(plain))) & (_remainder(F.concat(body, country, F.substring(plain, 3, 2))) == 1)
+    return sound, _let(whole, lambda w: _refill(m, w, "[0-9A-Z]"))
 
 
 def _ip(key: str, m: Column) -> tuple[Column, Column]:
@@ -140,9 +162,34 @@ def _ip(key: str, m: Column) -> tuple[Column, Column]:
     return F.lit(True), _rectangle(key, "ip", part(1) * 256 + part(2), part(3) * 256 + part(4), 65536, 65536, join)
 
 
+def _early(key: str, d: Column) -> Column:
+    """A date (year, month, day) up to the 12th, permuted among those."""
+    number = ((d[0] - _FIRST_YEAR) * 12 + d[1] - 1) * 12 + d[2] - 1
+    done = lambda s: _let(s["l"] * 180 + s["r"], lambda n: F.make_date((F.floor(n / 144) + _FIRST_YEAR).cast("int"), (F.floor(n / 12) % 12 + 1).cast("int"), (n % 12 + 1).cast("int")))
+    return _rectangle(key, "early date", F.floor(number / 180), number % 180, _YEARS * 144 // 180, 180, done)
+
+
+def _late(key: str, d: Column) -> Column:
+    """A date (year, month, day) after the 12th, permuted among those."""
+    origin = F.lit(f"{_FIRST_YEAR}-01-01").cast("date")
+    month = lambda i: F.add_months(origin, i.cast("int"))
+    # Such days in front of a month.
+    before = lambda i: F.datediff(month(i), origin) - 12 * i
+    number = _let((d[0] - _FIRST_YEAR) * 12 + d[1] - 1, lambda i: before(i) + d[2] - 13)
+    # The rectangle is a little larger than the days; a place outside of them moves on until it is a day.
+    step = lambda x: _rectangle(key, "late date", F.floor(x / _COLUMNS), x % _COLUMNS, _ROWS, _COLUMNS, lambda s: s["l"] * _COLUMNS + s["r"])
+    walked = F.aggregate(F.sequence(F.lit(0), F.lit(_ROWS * _COLUMNS - _LATE_DAYS)), -number.cast("long") - 1, lambda a, _: F.when((a >= 0) & (a < _LATE_DAYS), a).otherwise(step(F.when(a < 0, -a - 1).otherwise(a))))
+
+    def day(n: Column) -> Column:
+        near = F.floor(n * (12 * _YEARS) / _LATE_DAYS)
+        of = F.array_max(F.filter(F.sequence(F.greatest(near - 2, F.lit(0)), F.least(near + 2, F.lit(12 * _YEARS - 1))), lambda i: before(i) <= n))
+        return _let(of, lambda i: F.date_add(month(i), (n - before(i) + 12).cast("int")))
+
+    return _let(walked, day)
+
+
 def _date(key: str, m: Column) -> tuple[Column, Column]:
     iso = m.contains("-")
-    origin = F.lit("1900-01-01").cast("date")
 
     def read(p: Column) -> Column:
         """Year, month, day of three numbers as they stand; a day comes before the month where it can."""
@@ -153,19 +200,14 @@ def _date(key: str, m: Column) -> tuple[Column, Column]:
     exists = lambda d: F.when(d[1].between(1, 12) & (d[2] >= 1), d[2] <= F.dayofmonth(F.last_day(F.make_date(d[0], d[1], F.lit(1))))).otherwise(False)
     sound = _let(numbers, lambda p: _let(read(p), exists))
 
-    # The rectangle is a little larger than the days; a place outside of them moves on until it is a day.
-    step = lambda x: _rectangle(key, "date", F.floor(x / _COLUMNS), x % _COLUMNS, _ROWS, _COLUMNS, lambda s: s["l"] * _COLUMNS + s["r"])
-    walk = lambda number: F.aggregate(F.sequence(F.lit(0), F.lit(_ROWS * _COLUMNS - _DAYS)), -number - 1, lambda a, _: F.when((a >= 0) & (a < _DAYS), a).otherwise(step(F.when(a < 0, -a - 1).otherwise(a))))
-    day_of = lambda p: _let(read(p), lambda d: F.datediff(F.make_date(d[0], d[1], d[2]), origin).cast("long"))
-
     def written(to: Column) -> Column:
         like = lambda x, i: F.lpad(x.cast("string"), F.greatest(F.length(x.cast("string")), F.length(F.get(F.split(m, r"[./-]"), i))), F.lit("0"))
         swapped = F.get(F.split(m, r"[./-]"), 1).cast("int") > 12
-        dot = F.regexp_extract(m, "[./-]", 0)
+        dot = lambda i: F.regexp_extract(m, r"^[0-9]+([./-])[0-9]+([./-])", i)
         day, month = F.dayofmonth(to), F.month(to)
-        return F.when(iso, F.date_format(to, "yyyy-MM-dd")).otherwise(F.concat(like(F.when(swapped, month).otherwise(day), 0), dot, like(F.when(swapped, day).otherwise(month), 1), dot, F.year(to).cast("string")))
+        return F.when(iso, F.date_format(to, "yyyy-MM-dd")).otherwise(F.concat(like(F.when(swapped, month).otherwise(day), 0), dot(1), like(F.when(swapped, day).otherwise(month), 1), dot(2), F.year(to).cast("string")))
 
-    return sound, _let(numbers, lambda p: _let(walk(day_of(p)), lambda n: _let(F.date_add(origin, n.cast("int")), written)))
+    return sound, _let(numbers, lambda p: _let(read(p), lambda d: _let(F.when(d[2] <= 12, _early(key, d)).otherwise(_late(key, d)), written)))
 
 
 def _ssn(key: str, m: Column) -> tuple[Column, Column]:
@@ -182,9 +224,26 @@ def _ssn(key: str, m: Column) -> tuple[Column, Column]:
 
 
 def _phone(key: str, m: Column) -> tuple[Column, Column]:
-    code = F.regexp_extract(m, r"^\+[0-9]{1,3}(?=[^0-9])", 0)
-    rest = F.substring(m, F.length(code) + 1, F.length(m))
-    return F.length(_only(m)).between(8, 15), F.concat(code, _let(rest, lambda r: _let(_letters(key, "phone", _only(r)), lambda w: _refill(r, w))))
+    """A number without country code is one of the North American plan; a trunk zero in brackets is no part of the number."""
+    plus = m.startswith("+")
+    bare = F.replace(m, F.lit("(0)"), F.lit("()"))
+    full = F.concat(F.when(plus, F.lit("")).otherwise(F.lit("1")), _only(bare))
+    size = lambda f: F.when(F.substring(f, 1, 1).isin("1", "7"), 1).when(F.substring(f, 1, 2).isin(CALLING_CODES.split()), 2).otherwise(3)
+
+    def fresh(f: Column) -> Column:
+        code = F.substring(f, F.lit(1), size(f))
+        own = F.substring(f, size(f) + 1, F.length(f))
+        # The first half keeps its length, so it does not begin with 0 unless it did; North American areas begin with 2 to 9.
+        half = F.when((code == "1") & (F.length(own) == 10), 3).otherwise(F.floor(F.length(own) / 2)).cast("int")
+        power = lambda n: F.pow(F.lit(10), n).cast("long")
+        low = F.when(own.startswith("0"), F.lit(0)).otherwise(power(half - 1) * F.when((code == "1") & (F.length(own) == 10) & (F.substring(own, 1, 1) != "1"), 2).otherwise(1))
+        high = F.when(own.startswith("0"), power(half - 1)).when((code == "1") & (F.length(own) == 10) & own.startswith("1"), 2 * power(half - 1)).otherwise(power(half))
+        left, right = F.substring(own, F.lit(1), half).cast("long"), F.substring(own, half + 1, F.length(own)).cast("long")
+        done = lambda s: F.concat(F.when(plus, code).otherwise(F.lit("")), F.lpad((s["l"] + low).cast("string"), half, F.lit("0")), F.lpad(s["r"].cast("string"), F.length(own) - half, F.lit("0")))
+        return _rectangle(key, "phone", left - low, right, high - low, power(F.length(own) - half), done, code, F.length(own))
+
+    shown = _let(full, lambda f: _let(fresh(f), lambda w: F.replace(_refill(bare, w), F.lit("()"), F.lit("(0)"))))
+    return F.length(_only(m)).between(8, 15) & _let(full, lambda f: F.length(f) - size(f) >= 4), shown
 
 
 def _card(key: str, m: Column) -> tuple[Column, Column]:

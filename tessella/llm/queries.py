@@ -47,7 +47,8 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tessella.llm import pii
 
-    return pii.pseudonyms(_table(spark, sf_dir, "documents"), key="corpus-2024")
+    # The key is the session's; without one the query has a key of its own, for tests.
+    return pii.pseudonyms(_table(spark, sf_dir, "documents"), key=spark.conf.get("spark.tessella.pii.key", "corpus-2024"))
 
 
 def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
