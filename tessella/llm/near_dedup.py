@@ -7,23 +7,30 @@ bit. The population count of the XOR of two sketches estimates the similarity
 of a candidate pair; pairs far below the threshold go, all others are confirmed
 on their full shingle sets.
 
-Documents with equal shingle sets are one node. A bucket does not emit all its
-pairs: first each member meets the bucket's smallest id only, and the confirmed
-links are contracted to components; then only members of a bucket that are
-still in different components meet, block by block, and only links that join
-components leave their task. So no link between components is lost
-except where the bands or the sketch miss a pair: a pair at the threshold
-shares no band with a chance of about (1 - t**6)**36, 4e-8 at 0.85, and
-exceeds the sketch's bound about as rarely.
+Documents with equal shingle sets (by SHA-256 of the whole set) are one node. A
+bucket does not emit all its pairs: first each member meets the bucket's
+smallest id only, and the confirmed links are contracted to components. Where
+more than BLOCK members of a bucket stay outside of its largest component, all
+that are apart from it meet one of them, drawn by chance, and so on while that
+finds links. Then the members outside of the largest component, in blocks,
+meet the other members, in blocks, and only links that join components leave
+their task. So no link between components is lost except where the bands or
+the sketch miss a pair: a pair at the threshold shares no band with a chance
+of about (1 - t**6)**36, 4e-8 at 0.85, and exceeds the sketch's bound about as
+rarely.
 
 Defined results: a null text, an empty one and one without words have 0
-shingles and no links; a text of fewer than ``width`` words is one shingle; a
-null doc_id is linked with nothing and stays; doc_id identifies a document, so
-rows that repeat it are one node; only ``doc_id`` and ``text`` are read.
+shingles and no links; a text of fewer than ``width`` words is one shingle;
+texts are read whole, however long, and their sets confirmed whole; a null
+doc_id is linked with nothing and stays; doc_id identifies a document, so rows
+that repeat it are one node; of equally similar documents every one is linked,
+and the smallest doc_id names the component; an empty table gives an empty
+result; only ``doc_id`` and ``text`` are read, so other columns cannot clash.
 """
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections.abc import Iterator
 
@@ -43,8 +50,8 @@ SKETCH_BITS = 64 * SKETCH_WORDS
 #: Standard deviations of the estimate that the sketch's bound lies below the threshold.
 SLACK = 5.5
 _WIDE = 4096
-#: Members of one block of a large bucket.
-BLOCK = 512
+#: Members of one block of a large bucket, and rounds in which a member drawn by chance meets the others at most.
+BLOCK, DRAWS = 512, 8
 
 _rng = np.random.Generator(np.random.PCG64(20240229))
 _MULTIPLY = _rng.integers(0, 1 << 31, SAMPLES, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
@@ -95,19 +102,17 @@ def _sign(width: int):
             ids = batch.column("doc_id")
             for i, j, hashes, first in texts_words(batch.column("text")):
                 samples = np.full((j - i, SAMPLES), np.iinfo(np.uint32).max, np.uint32)
-                counts, a, b = np.zeros(j - i, np.int64), np.zeros(j - i, np.uint64), np.zeros(j - i, np.uint64)
+                counts, digest = np.zeros(j - i, np.int64), np.zeros((j - i, 2), np.int64)
                 for d in range(j - i):
                     own = shingles(hashes[first[d] : first[d + 1]], width)
                     counts[d] = len(own)
                     if len(own):
                         samples[d] = minhash(own)
-                        a[d] = own.sum(dtype=np.uint64)
-                        b[d] = np.bitwise_xor.reduce(mix(own + np.uint64(0x2545F491)))
-                a, b = mix(a + counts.astype(np.uint64)), mix(b)
+                        digest[d] = np.frombuffer(hashlib.sha256(own).digest(), np.int64, 2)
                 bands = band_keys(samples)
                 sketch = odd_sketches(samples)
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(0, bands.size + 1, BANDS, dtype=np.int32)), pa.array(bands.ravel()))
-                yield pa.RecordBatch.from_arrays([ids.slice(i, j - i), pa.array(counts), pa.array(a.view(np.int64)), pa.array(b.view(np.int64)), lists, *[pa.array(np.ascontiguousarray(sketch[:, k])) for k in range(SKETCH_WORDS)]], names)
+                yield pa.RecordBatch.from_arrays([ids.slice(i, j - i), pa.array(counts), pa.array(digest[:, 0].copy()), pa.array(digest[:, 1].copy()), lists, *[pa.array(np.ascontiguousarray(sketch[:, k])) for k in range(SKETCH_WORDS)]], names)
 
     return run
 
@@ -175,13 +180,22 @@ def _confirmed(docs: DataFrame, pairs: DataFrame, percent: int, width: int) -> D
     return scratch.materialize(found, "links")
 
 
-_PLACE = "key long, low int, high int, side int, id long"
+_PLACE = "key long, low int, high int, role int, id long"
 
 
 def _block_pairs(rows: DataFrame) -> DataFrame:
-    """Members of a bucket dealt to pairs of its blocks, so that each two meet in one group of 2 * BLOCK at most, about."""
-    rows = rows.withColumn("side", F.pmod(F.xxhash64("id"), "blocks").cast("int")).withColumn("with", F.explode(F.sequence(F.lit(0), (F.col("blocks") - 1).cast("int"))))
-    return rows.withColumn("low", F.least("side", "with")).withColumn("high", F.greatest("side", "with")).drop("with", "blocks")
+    """Members of apart buckets dealt to pairs of blocks (low, high): role 1 outside of the largest component, role 0 all of them.
+
+    Rows have out, the number of members outside, and members. A member is
+    copied once for each block of those outside, one outside also once for each block of members.
+    """
+    blocks = lambda n: F.ceil(F.col(n) / BLOCK).cast("int")
+    every = lambda n: F.sequence(F.lit(0), blocks(n) - 1)
+    own = lambda n: F.pmod(F.xxhash64(F.lit(n), "id"), blocks(n)).cast("int")
+    outside = F.col("part") != F.col("largest")
+    tests = rows.where(outside).withColumn("role", F.lit(1)).withColumn("low", own("out")).withColumn("high", F.explode(every("members")))
+    others = rows.withColumn("role", F.lit(0)).withColumn("high", own("members")).withColumn("low", F.explode(every("out")))
+    return tests.unionByName(others).withColumn("outside", outside).drop("out", "members", "largest")
 
 
 def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
@@ -206,17 +220,17 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
 
 def _near_pairs(group: pa.Table, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Rows of a group that may be linked across parts: their numbers, and the distances of their sketches."""
-    side, part, n = (group[c].to_numpy().astype(np.int64) for c in ("side", "part", "n_shingles"))
-    low, high = group["low"][0].as_py(), group["high"][0].as_py()
+    role, part, n, ids = (group[c].to_numpy().astype(np.int64) for c in ("role", "part", "n_shingles", "id"))
+    outside = np.asarray(group["outside"])
     sketch = np.stack([group[f"s{i}"].to_numpy() for i in range(SKETCH_WORDS)], axis=1).view(np.uint64)
-    x, y = np.flatnonzero(side == low), np.flatnonzero(side == high)
+    x, y = np.flatnonzero(role == 1), np.flatnonzero(role == 0)
     distance = np.zeros((len(x), len(y)), np.int64)
     for k in range(SKETCH_WORDS):
         distance += np.bitwise_count(sketch[x, k][:, None] ^ sketch[y, k][None, :])
     a, b = n[x][:, None], n[y][None, :]
     fine = (distance <= sketch_bound(percent / 100)) & (part[x][:, None] != part[y][None, :]) & (100 * np.minimum(a, b) >= percent * np.maximum(a, b))
-    if low == high:
-        fine &= x[:, None] < y[None, :]
+    # Two that are both outside meet twice.
+    fine &= ~outside[y][None, :] | (ids[x][:, None] < ids[y][None, :])
     r, c = np.nonzero(fine)
     return x[r], y[c], distance[r, c]
 
@@ -268,6 +282,16 @@ def _links_between(percent: int):
     return run
 
 
+def _apart(buckets: DataFrame, label: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Members of buckets (key, id, part), and the buckets (key, largest, members, out) that hold several parts."""
+    named = buckets.join(label.withColumnRenamed("component", "part"), "id", "left").select("key", "id", F.coalesce("part", "id").alias("part"))
+    named = scratch.materialize(named, "named")
+    sizes = named.groupBy("key", "part").agg(F.count(F.lit(1)).alias("n"))
+    apart = sizes.groupBy("key").agg(F.max(F.struct("n", "part")).alias("most"), F.sum("n").alias("members"))
+    apart = apart.select("key", F.col("most.part").alias("largest"), "members", (F.col("members") - F.col("most.n")).alias("out")).where("out > 0")
+    return named, scratch.materialize(apart, "apart")
+
+
 def near_groups(docs: DataFrame, percent: int = 80, width: int = 5) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept.
 
@@ -293,9 +317,19 @@ def near_groups(docs: DataFrame, percent: int = 80, width: int = 5) -> DataFrame
     label = components(links)
 
     # Members of one bucket that the first links leave apart.
-    named = buckets.join(label.withColumnRenamed("component", "part"), "id", "left").select("key", "id", F.coalesce("part", "id").alias("part"))
-    named = scratch.materialize(named, "named")
-    apart = named.groupBy("key").agg(F.min("part").alias("x"), F.max("part").alias("y"), F.count(F.lit(1)).alias("m")).where("x < y").select("key", F.ceil(F.col("m") / BLOCK).alias("blocks"))
+    for draw in range(DRAWS + 1):
+        named, apart = _apart(buckets, label)
+        wide = apart.where(F.col("out") > BLOCK)
+        if draw == DRAWS or not wide.limit(1).count():
+            break
+        drawn = named.join(wide, "key").where("part <> largest").groupBy("key").agg(F.min(F.struct(F.xxhash64(F.lit(draw), "id"), "id", "part")).alias("one"))
+        meet = named.join(drawn, "key").where("part <> one.part").select(F.col("id").alias("a"), F.col("one.id").alias("b")).distinct()
+        meet = meet.join(_side(nodes, "a"), "a").join(_side(nodes, "b"), "b").where(likely).select("a", "b")
+        more = _confirmed(docs, scratch.materialize(meet, "stars"), percent, width)
+        if not more.limit(1).count():
+            break
+        links = links.unionByName(more)
+        label = components(links)
     sketches = nodes.select(F.col("doc_id").alias("id"), "n_shingles", *[f"s{i}" for i in range(SKETCH_WORDS)])
     open_ = scratch.materialize(_block_pairs(named.join(apart, "key").join(sketches, "id")), "open")
     active = open_.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high").transform(scratch.arrow, _near_members(percent), _PLACE)
@@ -304,7 +338,7 @@ def near_groups(docs: DataFrame, percent: int = 80, width: int = 5) -> DataFrame
         ids = scratch.materialize(active.select(F.col("id").alias("doc_id")).distinct(), "ids")
         sets = scratch.only(_texts(docs), ids, "doc_id").transform(scratch.arrow, _sets(width), "doc_id long, blob binary").withColumnRenamed("doc_id", "id")
         bands = nodes.select(F.col("doc_id").alias("id"), "bands")
-        full = active.join(open_, ["key", "low", "high", "side", "id"]).join(sets, "id").join(bands, "id")
+        full = active.join(open_, ["key", "low", "high", "role", "id"]).join(sets, "id").join(bands, "id")
         found = full.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high").transform(scratch.arrow, _links_between(percent), "a long, b long")
         more = scratch.materialize(found, "links")
         if more.limit(1).count():

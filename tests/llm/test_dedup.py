@@ -123,6 +123,41 @@ def test_near_groups_small_blocks(spark, monkeypatch):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in near_dedup.near_groups(docs, 85).collect()} == brute(rows, 85)
 
 
+def test_blocks_are_no_square(spark):
+    """3,000 members in one component and 3 outside of it: few copies, and each two across parts meet once."""
+    rows = spark.range(3003).selectExpr("1L as key", "id", "case when id < 3000 then 0L else id end as part", "0L as largest", "3003L as members", "3L as out")
+    dealt = near_dedup._block_pairs(rows).collect()
+    assert len(dealt) <= 3003 + 3 * -(-3003 // near_dedup.BLOCK)
+    groups = defaultdict(lambda: (set(), set()))
+    for r in dealt:
+        groups[r.key, r.low, r.high][r.role].add((r.id, r.part, r.outside))
+    met = [tuple(sorted((x[0], y[0]))) for others, tests in groups.values() for x in tests for y in others if x[1] != y[1] and (not y[2] or x[0] < y[0])]
+    assert len(met) == len(set(met)) == 3 * 3000 + 3
+
+
+def test_near_groups_many_copies_and_outliers(spark):
+    """A crowd of near copies and rows that share its bands but not its component; the plan meets no square of the crowd."""
+    rng = np.random.default_rng(9)
+    base = [f"b{i}" for i in range(80)]
+    rows = [(i, " ".join([*base, f"tail{i % 150}"])) for i in range(600)]
+    for i in range(40):
+        w = list(base)
+        for j in rng.choice(80, 4, replace=False):
+            w[j] = f"c{i}_{j}"
+        rows.append((1000 + i, " ".join(w)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    for percent in (60, 80):
+        assert {r.doc_id: (r.n_shingles, r.component_id) for r in near_dedup.near_groups(docs, percent).collect()} == brute(rows, percent)
+
+
+def test_near_groups_drawn_members(spark, monkeypatch):
+    """With blocks of two rows nearly every bucket is met by members drawn by chance first; the result is the same."""
+    monkeypatch.setattr(near_dedup, "BLOCK", 2)
+    rows = [(i, " ".join(f"n{j}" for j in range(i, i + 60))) for i in range(30)] + [(100 + i, " ".join([f"m{j}" for j in range(50)] + [f"x{i}_{j}" for j in range(i % 9)])) for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in near_dedup.near_groups(docs, 85).collect()} == brute(rows, 85)
+
+
 def test_near_groups_odd(odd, none):
     rows = near_dedup.near_groups(odd, 85).collect()
     assert len(rows) == odd.count()
