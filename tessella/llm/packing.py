@@ -1,30 +1,39 @@
 """Tokenise whole documents and pack their pieces into sequences by bulk-synchronous best fit.
 
-Pieces and gaps are sorted by length. A round takes the longest pieces that
-are left, sweeps to the successor gap (the smallest that holds them), matches
-pieces and gaps of that pair by rank, updates the gaps and repeats; pieces
-without a gap open sequences. Lengths are whole numbers up to the capacity, so
-equal lengths form runs and a round moves runs instead of rows: the rounds see
-``capacity`` runs at most, whatever the number of documents. Rows are ranked
-within their run by distributed counts, and find their place by a join of
-their rank with the rounds' rank ranges.
+A round sorts the pieces that are left and the gaps of all sequences by length
+and sweeps them from the largest: every piece goes to its successor, the
+smallest gap that holds it and that no longer piece has taken; which of equal
+pieces meets which of equal gaps is decided by rank. Then the gaps are updated
+and the next round begins, until no piece is left. Where nothing fits, as many
+sequences are opened as the pieces need at least. The long pieces, of which a
+sequence holds one, go before all others.
+
+Lengths are whole numbers up to the capacity, so equal lengths form runs, and a
+round sorts, sweeps and ranks runs, at most some thousands whatever the number
+of documents. The sweep is a bracket matching: gaps raise a level, pieces lower
+it again, and a piece meets the last gap before it that covers its level. Where
+a length has many more pieces than there are gaps, several go to one gap
+together. The rows themselves never move: they are ranked within their length
+by distributed counts and find their place by a join with the rounds' rank
+ranges.
 
 Defined results: a null or empty text is the one id 0; only texts longer than
-the capacity are cut, the first piece takes the rest of the division; repeated
-rows are packed once each; only ``doc_id`` and ``text`` are read.
+the capacity are cut, the first piece takes the rest of the division, however
+long the text; equal lengths are ranked by a hash of the row, and equal rows
+are packed once each, whichever comes first; an empty table gives an empty
+result; a null doc_id stays null; only ``doc_id`` and ``text`` are read, so
+other columns cannot clash.
 """
 
 from __future__ import annotations
 
-import bisect
 import json
 import re
 import zlib
-from collections import defaultdict
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessella.llm import scratch
@@ -140,66 +149,126 @@ def pieces(docs: DataFrame, tokenizer_path: str | None = None, capacity: int = C
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).transform(scratch.arrow, run, _PIECES)
 
 
-def best_fit(lengths: dict[int, int], capacity: int) -> list[tuple[int, int, int, int, int]]:
-    """Rounds of best fit over runs of equal lengths, longest first.
-
-    lengths: the number of pieces of each length. Returns (length, first rank,
-    end of ranks, first sequence, offset): the pieces of a length with these
-    ranks go to as many sequences in a row, at that offset.
+#: Runs of pieces (n of a length, from rank first), of gaps (n sequences with room for size, from first), and of pieces that have their place.
+_RUNS = "kind string, size long, first long, n long, length long, bundle long, low long, high long, offset long"
+_NAMES = [x.split()[0] for x in _RUNS.split(", ")]
+#: Rounds in which only pieces longer than half the capacity take part, at most.
+LONG_ROUNDS = 9
+#: Pieces longer than the k-th part of the capacity are counted for k up to this: k - 1 of them fill a sequence.
+_SHARES = 9
+
+
+def _run(kind: str, **columns: Column) -> list[Column]:
+    """The columns of a run; those that are not given are null."""
+    types = dict(x.split() for x in _RUNS.split(", "))
+    return [F.lit(kind).alias("kind"), *[columns.get(n, F.lit(None)).cast(types[n]).alias(n) for n in _NAMES[1:]]]
+
+
+def _sweep(state: DataFrame, least: int, capacity: int) -> DataFrame:
+    """One round over runs of gaps and pieces: pieces longer than least meet their successors."""
+    eligible = (F.col("kind") == "gap") | (F.col("size") > least)
+    waiting = state.where(~eligible).select(_NAMES)
+    gap = F.col("kind") == "gap"
+    down = [F.desc("size"), F.asc("kind"), F.asc("first")]
+    # The runs are so few that one task sorts them.
+    sort = Window.orderBy(*down).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    room, top = F.sum(F.when(gap, F.col("n")).otherwise(0)).over(sort), F.max(F.when(gap, F.col("size"))).over(Window.partitionBy())
+    seen = state.where(eligible).select("kind", "size", "first", "n", room.alias("room"), top.alias("top"))
+    # Pieces that go to one gap together, as all gaps that hold them would have to take on average.
+    bundle = F.when(gap, F.lit(1)).otherwise(F.greatest(F.lit(1), F.least(F.floor(F.col("n") / F.greatest("room", F.lit(1))), F.floor(F.col("top") / F.col("size")))))
+    seen = seen.withColumn("bundle", bundle.cast("long")).withColumn("whole", F.floor(F.col("n") / F.col("bundle")))
+    one = F.struct((F.col("bundle") * F.col("size")).alias("unit"), F.col("whole").alias("n"), F.col("first").alias("first"), F.col("bundle").alias("bundle"))
+    rest = F.struct(F.col("size").alias("unit"), (F.col("n") - F.col("whole") * F.col("bundle")).alias("n"), (F.col("first") + F.col("whole") * F.col("bundle")).alias("first"), F.lit(1).cast("long").alias("bundle"))
+    units = seen.select("kind", "size", F.inline(F.array(one, rest))).where("n > 0")
+
+    order = Window.orderBy(F.desc("unit"), F.asc("kind"), F.asc("size"), F.asc("first"))
+    before, after = order.rowsBetween(Window.unboundedPreceding, Window.currentRow), order.rowsBetween(1, Window.unboundedFollowing)
+    events = units.withColumn("at", F.row_number().over(order)).withColumn("sum", F.sum(F.when(gap, F.col("n")).otherwise(-F.col("n"))).over(before))
+    # The level never falls below zero: a piece that meets no gap is left.
+    events = events.withColumn("level", F.col("sum") - F.least(F.lit(0), F.min("sum").over(before)))
+    events = events.withColumn("was", F.lag("level", 1, 0).over(order)).withColumn("later", F.min("level").over(after))
+    events = events.withColumn("lo", F.least("was", "level")).withColumn("hi", F.greatest("was", "level"))
+
+    gaps = events.where(gap).select(F.col("at").alias("gap_at"), F.col("unit").alias("gap"), F.col("first").alias("gap_first"), F.col("lo").alias("gap_lo"), F.col("hi").alias("gap_hi"))
+    pieces = events.where(~gap & (F.col("lo") < F.col("hi"))).select("at", "unit", F.col("size").alias("length"), "first", "bundle", "lo", "hi")
+    over = (F.col("gap_at") < F.col("at")) & (F.col("gap_lo") < F.col("hi")) & (F.col("gap_hi") > F.col("lo"))
+    # Of the gaps that cover a level before a piece the last one is its own; those behind it cap the levels.
+    nearer = Window.partitionBy("at").orderBy(F.desc("gap_at")).rowsBetween(Window.unboundedPreceding, -1)
+    met = gaps.join(F.broadcast(pieces), over).withColumn("cap", F.min("gap_lo").over(nearer))
+    met = met.withColumn("from", F.greatest("lo", "gap_lo")).withColumn("to", F.least("hi", "gap_hi", F.coalesce("cap", "hi"))).where(F.col("from") < F.col("to"))
+    number = F.col("to") - F.col("from")
+    rank, sequence = F.col("first") + (F.col("from") - F.col("lo")) * F.col("bundle"), F.col("gap_first") + F.col("from") - F.col("gap_lo")
+    placed = F.struct(*_run("place", first=sequence, length=F.col("length"), bundle=F.col("bundle"), low=rank, high=rank + number * F.col("bundle"), offset=capacity - F.col("gap")))
+    smaller = F.struct(*_run("gap", size=F.col("gap") - F.col("unit"), first=sequence, n=number))
+    done = met.select(F.inline(F.array(placed, smaller))).where("kind = 'place' or size > 0")
+
+    free = F.least("hi", F.coalesce("later", "hi")) - F.col("lo")
+    taken = F.col("hi") - F.col("lo")
+    left = events.select(
+        F.when(gap, F.struct(*_run("gap", size=F.col("unit"), first=F.col("first"), n=free)))
+        .otherwise(F.struct(*_run("piece", size=F.col("size"), first=F.col("first") + taken * F.col("bundle"), n=(F.col("n") - taken) * F.col("bundle"))))
+        .alias("run")
+    ).select("run.*").where("n > 0")
+    return waiting.unionByName(done).unionByName(left)
+
+
+def _needs(state: DataFrame, least: int, capacity: int):
+    """One row: whether pieces longer than least are left, the shortest one, and the sequences to open for those that no gap holds."""
+    piece = (F.col("kind") == "piece") & (F.col("size") > least)
+    top = F.coalesce(F.max(F.when(F.col("kind") == "gap", F.col("size"))).over(Window.partitionBy()), F.lit(0))
+    rows = state.withColumn("top", top).where(piece)
+    homeless = F.when(F.col("size") > F.col("top"), F.col("n")).otherwise(0)
+    need = [F.ceil(F.sum(homeless * F.col("size")) / capacity)]
+    need += [F.ceil(F.sum(F.when(F.col("size") * k > capacity, homeless).otherwise(0)) / (k - 1)) for k in range(2, _SHARES)]
+    return rows.agg(F.count(F.lit(1)).alias("left"), F.min("size").alias("shortest"), F.greatest(*need).cast("long").alias("open")).first()
+
+
+def rounds(lengths: DataFrame, capacity: int) -> DataFrame:
+    """Rounds of best fit over lengths (length, n): length, low, high, first, bundle, offset.
+
+    The pieces of a length with ranks from low to high go to sequences from
+    first on, ``bundle`` to each, one behind the other from offset.
     """
-    out: list[tuple[int, int, int, int, int]] = []
-    gaps: dict[int, list[tuple[int, int]]] = defaultdict(list)  # gap -> runs of sequences (first, number)
-    sizes: list[int] = []  # gaps that have sequences, ascending
-    sequences = 0
-
-    def add(gap: int, run: tuple[int, int]) -> None:
-        if gap and run[1]:
-            if not gaps[gap]:
-                bisect.insort(sizes, gap)
-            gaps[gap].append(run)
-
-    for length in sorted(lengths, reverse=True):
-        rank, left = 0, lengths[length]
-        while left:
-            at = bisect.bisect_left(sizes, length)
-            if at < len(sizes):
-                gap = sizes[at]
-                first, number = gaps[gap].pop()
-                if not gaps[gap]:
-                    sizes.pop(at)
-            else:
-                gap, first, number = capacity, sequences, -(-left // (capacity // length))
-                sequences += number
-            each = gap // length
-            whole = min(number, left // each)
-            for k in range(each if whole else 0):
-                out.append((length, rank, rank + whole, first, capacity - gap + k * length))
-                rank += whole
-            left -= whole * each
-            add(gap - each * length, (first, whole))
-            first, number = first + whole, number - whole
-            if number and left:  # fewer pieces than one gap would take
-                for k in range(left):
-                    out.append((length, rank + k, rank + k + 1, first, capacity - gap + k * length))
-                add(gap - left * length, (first, 1))
-                rank, left, first, number = rank + left, 0, first + 1, number - 1
-            add(gap, (first, number))
-    return out
-
-
-def pack(docs: DataFrame, tokenizer_path: str | None = None, capacity: int = CAPACITY) -> DataFrame:
-    """One row for each piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
-    spark = docs.sparkSession
-    rows = scratch.materialize(pieces(docs, tokenizer_path, capacity), "pieces")
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    spark = lengths.sparkSession
+    state = scratch.materialize(lengths.select(_run("piece", size=F.col("length"), first=F.lit(0), n=F.col("n"))), "lengths")
+    sequences, least, turn, places = 0, capacity // 2, 0, [state.where("kind = 'place'")]
+    while True:
+        needs = _needs(state, least, capacity)
+        if least and (not needs["left"] or turn == LONG_ROUNDS):
+            least = 0
+            needs = _needs(state, least, capacity)
+        if not needs["left"]:
+            break
+        # Gaps that no piece fits any more are finished.
+        now = state.where((F.col("kind") == "piece") | (F.col("kind") == "gap") & (F.col("size") >= (1 if least else needs["shortest"])))
+        if needs["open"]:
+            now = now.unionByName(spark.range(1).select(_run("gap", size=F.lit(capacity), first=F.lit(sequences), n=F.lit(needs["open"]))))
+            sequences += needs["open"]
+        state = scratch.materialize(_sweep(now, least, capacity).coalesce(1), "round")
+        places.append(state.where("kind = 'place'"))
+        turn += 1
+    out = places[0]
+    for p in places[1:]:
+        out = out.unionByName(p)
+    return out.select("length", "low", "high", "first", "bundle", "offset")
+
+
+def place(rows: DataFrame, capacity: int = CAPACITY) -> DataFrame:
+    """Pieces (doc_id, piece, start, length, ids_crc32), each with sequence_id and offset."""
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = rows.withColumn("part", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(parts)).cast("int"))
-    counts = rows.groupBy("part", "length").agg(F.count(F.lit(1)).alias("n"))
+    counts = scratch.materialize(rows.groupBy("part", "length").agg(F.count(F.lit(1)).alias("n")), "counts")
     before = counts.select("part", "length", (F.sum("n").over(Window.partitionBy("length").orderBy("part")) - F.col("n")).alias("before"))
-    # One row for each length, capacity rows at most.
-    runs = {r.length: r.n for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}
-    rounds = spark.createDataFrame(best_fit(runs, capacity), "length long, low long, high long, first long, offset long")
+    found = scratch.materialize(rounds(counts.groupBy("length").agg(F.sum("n").alias("n")), capacity).coalesce(1), "places")
     local = F.row_number().over(Window.partitionBy("part", "length").orderBy("doc_id", "piece", "ids_crc32")) - 1
     ranked = rows.withColumn("local", local).join(before, ["part", "length"]).withColumn("rank", F.col("before") + F.col("local"))
-    # The rounds' number is bounded by the capacity alone.
-    placed = ranked.join(F.broadcast(rounds), (ranked["length"] == rounds["length"]) & (ranked["rank"] >= rounds["low"]) & (ranked["rank"] < rounds["high"]))
-    return placed.select("doc_id", "piece", "start", ranked["length"], "ids_crc32", (F.col("first") + F.col("rank") - F.col("low")).alias("sequence_id"), "offset")
+    # The places' number is bounded by the capacity alone.
+    placed = ranked.join(F.broadcast(found), (ranked["length"] == found["length"]) & (ranked["rank"] >= found["low"]) & (ranked["rank"] < found["high"]))
+    at, own = F.col("rank") - F.col("low"), ranked["length"]
+    sequence = F.col("first") + F.floor(at / F.col("bundle"))
+    return placed.select("doc_id", "piece", "start", own, "ids_crc32", sequence.cast("long").alias("sequence_id"), (F.col("offset") + at % F.col("bundle") * own).alias("offset"))
+
+
+def pack(docs: DataFrame, tokenizer_path: str | None = None, capacity: int = CAPACITY) -> DataFrame:
+    """One row for each piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
+    return place(scratch.materialize(pieces(docs, tokenizer_path, capacity), "pieces"), capacity)

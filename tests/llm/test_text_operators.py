@@ -1,4 +1,5 @@
 import base64
+import bisect
 import gzip
 import re
 import urllib.parse
@@ -142,6 +143,53 @@ def _tokenizer(kind, path):
     return _made[path]
 
 
+def best_fit(lengths: dict[int, int], capacity: int) -> list[tuple[int, int, int, int, int]]:
+    """Rounds of best fit over runs of equal lengths, longest first.
+
+    lengths: the number of pieces of each length. Returns (length, first rank,
+    end of ranks, first sequence, offset): the pieces of a length with these
+    ranks go to as many sequences in a row, at that offset.
+    """
+    out: list[tuple[int, int, int, int, int]] = []
+    gaps: dict[int, list[tuple[int, int]]] = defaultdict(list)  # gap -> runs of sequences (first, number)
+    sizes: list[int] = []  # gaps that have sequences, ascending
+    sequences = 0
+
+    def add(gap: int, run: tuple[int, int]) -> None:
+        if gap and run[1]:
+            if not gaps[gap]:
+                bisect.insort(sizes, gap)
+            gaps[gap].append(run)
+
+    for length in sorted(lengths, reverse=True):
+        rank, left = 0, lengths[length]
+        while left:
+            at = bisect.bisect_left(sizes, length)
+            if at < len(sizes):
+                gap = sizes[at]
+                first, number = gaps[gap].pop()
+                if not gaps[gap]:
+                    sizes.pop(at)
+            else:
+                gap, first, number = capacity, sequences, -(-left // (capacity // length))
+                sequences += number
+            each = gap // length
+            whole = min(number, left // each)
+            for k in range(each if whole else 0):
+                out.append((length, rank, rank + whole, first, capacity - gap + k * length))
+                rank += whole
+            left -= whole * each
+            add(gap - each * length, (first, whole))
+            first, number = first + whole, number - whole
+            if number and left:  # fewer pieces than one gap would take
+                for k in range(left):
+                    out.append((length, rank + k, rank + k + 1, first, capacity - gap + k * length))
+                add(gap - left * length, (first, 1))
+                rank, left, first, number = rank + left, 0, first + 1, number - 1
+            add(gap, (first, number))
+    return out
+
+
 def sequences(rounds):
     out, per = defaultdict(list), Counter()
     for length, low, high, first, offset in rounds:
@@ -154,7 +202,7 @@ def sequences(rounds):
 @given(st.dictionaries(st.integers(1, 24), st.integers(1, 30), min_size=1))
 @settings(max_examples=200, deadline=None)
 def test_best_fit_is_gapless_and_tight(lengths):
-    found, per = sequences(packing.best_fit(lengths, 24))
+    found, per = sequences(best_fit(lengths, 24))
     assert per == Counter(lengths)
     for pieces in found.values():
         at = 0
@@ -174,6 +222,63 @@ def test_best_fit_is_gapless_and_tight(lengths):
     assert len(found) == len(gaps)
 
 
+def gapless(rows, capacity):
+    by = defaultdict(list)
+    for r in rows:
+        by[r.sequence_id].append((r.offset, r.length))
+    for pieces in by.values():
+        at = 0
+        for offset, length in sorted(pieces):
+            assert offset == at
+            at += length
+        assert at <= capacity
+    return len(by)
+
+
+LENGTHS = {
+    "mixed": lambda rng: np.clip(rng.lognormal(6, 1.1, 6000).astype(int), 1, 2048),
+    "uniform": lambda rng: rng.integers(1, 2049, 4000),
+    "mostly empty": lambda rng: np.concatenate((np.ones(5000, int), rng.integers(200, 2049, 800))),
+    "one length": lambda rng: np.full(1500, 700),
+    "third hot": lambda rng: np.concatenate((np.full(1500, 53), rng.integers(20, 1500, 3000))),
+    "full": lambda rng: np.full(40, 2048),
+    "few": lambda rng: np.array([1, 2, 3, 2047, 1025, 1023]),
+}
+
+
+@pytest.mark.parametrize("name", LENGTHS)
+def test_rounds_against_plain_best_fit(spark, name):
+    """Every piece has its place, sequences have no holes, and there are hardly more than of one piece at a time."""
+    lengths = LENGTHS[name](np.random.default_rng(8)).tolist()
+    table = spark.createDataFrame(list(enumerate(lengths)), "doc_id long, length long").selectExpr("doc_id", "0 as piece", "0L as start", "length", "doc_id as ids_crc32").repartition(5)
+    rows = packing.place(table).collect()
+    assert sorted((r.doc_id, r.length) for r in rows) == list(enumerate(lengths))
+    found, _ = sequences(best_fit(dict(Counter(lengths)), packing.CAPACITY))
+    assert gapless(rows, packing.CAPACITY) <= 1.004 * len(found) + 1
+
+
+def test_pack_documents_against_plain_best_fit(spark, small):
+    """Pieces, ids and places of whole documents: tokenizers' own ids, and as few sequences as plain best fit."""
+    from tokenizers import Tokenizer
+
+    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{small}/documents.parquet").collect()}
+    rows = packing.pack(spark.read.parquet(f"{small}/documents.parquet")).collect()
+    exact = _tokenizer(Tokenizer, packing.default_tokenizer())
+    by = defaultdict(list)
+    for r in rows:
+        by[r.doc_id].append(r)
+    assert set(by) == set(docs)
+    for i, text in docs.items():
+        ids = np.array([*exact.encode(text or "", add_special_tokens=False).ids, 0], "<u4")
+        at = 0
+        for r in sorted(by[i], key=lambda r: r.piece):
+            assert r.start == at and r.ids_crc32 == zlib.crc32(ids[at : at + r.length].tobytes())
+            at += r.length
+        assert at == len(ids)
+    found, _ = sequences(best_fit(dict(Counter(r.length for r in rows)), packing.CAPACITY))
+    assert gapless(rows, packing.CAPACITY) <= 1.004 * len(found) + 1
+
+
 def test_pack_odd(odd, none):
     rows = packing.pack(odd, capacity=64).collect()
     by = defaultdict(list)
