@@ -143,3 +143,19 @@ def parsed(kind: type, values: dict[str, Any]):
 def equal(a, b) -> bool:
     """The eq resolver of configuration texts; neq is its opposite."""
     return str(a) == str(b)
+
+
+def schema(kind: type = Run) -> dict[str, Any]:
+    """The JSON schema of a configuration: its keys, their types and defaults; other keys are refused."""
+    names = {bool: "boolean", int: "integer", float: "number", str: "string"}
+
+    def of(value) -> dict[str, Any]:
+        if is_dataclass(value):
+            return {"type": "object", "properties": {f.name: of(getattr(value, f.name)) for f in fields(value)}, "additionalProperties": False}
+        if isinstance(value, tuple):
+            return {"type": "array", "items": of(value[0]) if value else {}, "default": list(value)}
+        if value is None:
+            return {"type": ["string", "null"], "default": None}
+        return {"type": names[type(value)], "default": value}
+
+    return {"$schema": "https://json-schema.org/draft/2020-12/schema", "title": kind.__name__, **of(kind())}

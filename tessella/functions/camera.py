@@ -294,3 +294,46 @@ def box_corners(cx: Column, cy: Column, w: Column, h: Column, width: Column, hei
     """Pixel corners of a box that is given by fractions of its centre and size."""
     whole = lambda x: x.cast("int")
     return whole((cx - w / 2) * width), whole((cy - h / 2) * height), whole((cx + w / 2) * width), whole((cy + h / 2) * height)
+
+
+#: How points of the image plane are distorted, and how that is undone, by the name of a model.
+DISTORTIONS = {"pinhole": (lambda x, y, k: (x, y), lambda x, y, k: (x, y)), "radial": (radial, radial_undo), "divisional": (divisional, divisional_undo), "mei": (mei_distort, mei_undo)}
+
+
+def image_to_world(u: Column, v: Column, cam: Pinhole, model: str = "pinhole", k1: Column | None = None) -> tuple[Column, Column]:
+    """A pixel's place on the image plane: normalised, and its distortion undone."""
+    return DISTORTIONS[model][1]((u - cam.cx) / cam.fx, (v - cam.cy) / cam.fy, F.lit(0.0) if k1 is None else k1)
+
+
+def world_to_image(p: Vec, cam: Pinhole, model: str = "pinhole", k1: Column | None = None) -> tuple[Column, Column, Column]:
+    """A point's pixel, and whether it lies before the camera."""
+    x, y, seen = divided(p)
+    x, y = DISTORTIONS[model][0](x, y, F.lit(0.0) if k1 is None else k1)
+    return x * cam.fx + cam.cx, y * cam.fy + cam.cy, seen
+
+
+def field_jacobian(x: Column, y: Column, f: Column, roll: Column, pitch: Column) -> list[tuple[Column, Column, Column]]:
+    """Derivatives of the up direction (x, y) and the latitude at a place of the image plane by roll, pitch and the logarithm of the focal length."""
+    g = gravity(roll, pitch)
+    by_roll = (g[1], -g[0], F.lit(0.0))
+    by_pitch = (F.sin(roll) * F.sin(pitch), F.cos(roll) * F.sin(pitch), F.cos(pitch))
+    a, b = g[0] - g[2] * x, g[1] - g[2] * y
+    n = F.greatest(F.sqrt(a * a + b * b), F.lit(1e-9))
+    up = lambda da, db: (da / n - a * (a * da + b * db) / (n * n * n), db / n - b * (a * da + b * db) / (n * n * n))
+    r = norm((x, y, F.lit(1.0)))
+    c = (x * g[0] + y * g[1] + g[2]) / r
+    flat = F.sqrt(F.greatest(1 - c * c, F.lit(1e-12)))
+    out = []
+    for d in (by_roll, by_pitch):
+        out.append((*up(d[0] - d[2] * x, d[1] - d[2] * y), (x * d[0] + y * d[1] + d[2]) / r / flat))
+    # A longer focal length moves the place towards the middle.
+    slope = (-(x * g[0] + y * g[1]) / r + c * (x * x + y * y) / (r * r)) / flat
+    out.append((*up(g[2] * x, g[2] * y), slope))
+    return out
+
+
+def display_pixels(p: Vec, cam: Pinhole, width: int, height: int) -> tuple[Column, Column, Column]:
+    """The pixel on which a point is drawn, rounded half to even about pixel centres, and whether it is in the image and before the camera."""
+    u, v = cam.project(p)
+    seen = (p[2] > 0) & (u >= 0) & (u < width) & (v >= 0) & (v < height)
+    return F.bround(u - 0.5).cast("int"), F.bround(v - 0.5).cast("int"), seen

@@ -204,6 +204,12 @@ class SE3(NamedTuple):
         z, o = F.lit(0.0), F.lit(1.0)
         return SE3((z, z, z), (z, z, z, o))
 
+    @staticmethod
+    def random(sigma: float = 1.0, seed: int = 0) -> SE3:
+        """The exponential of a tangent of normal numbers, another one for each row."""
+        tangent = [F.randn(seed + i) * sigma for i in range(6)]
+        return SE3.exp(tuple(tangent[:3]), tuple(tangent[3:]))
+
     @staticmethod
     def exp(tau: Vec, phi: Vec) -> SE3:
         return SE3(so3_left(phi, tau), so3_exp(phi))
@@ -349,3 +355,28 @@ def extrapolate(before: SE3, last: SE3) -> SE3:
     """Half the last motion once more."""
     tau, phi = last.mul(before.inv()).log()
     return SE3.exp(scale(tau, 0.5), scale(phi, 0.5)).mul(last)
+
+
+def _householder(x: Vec) -> tuple[Vec, Column]:
+    """v with last entry 1 and beta, so that the reflection 1 - beta v v^T takes x to its length on the last axis."""
+    sigma = x[0] * x[0] + x[1] * x[1]
+    sigma = F.when(sigma < 1e-7, sigma + 1e-7).otherwise(sigma)
+    n = norm(x)
+    pivot = F.when(x[2] < 0, x[2] - n).otherwise(-sigma / (x[2] + n))
+    return (x[0] / pivot, x[1] / pivot, F.lit(1.0)), 2 * pivot * pivot / (sigma + pivot * pivot)
+
+
+def sphere_plus(x: Vec, a: Column, b: Column) -> Vec:
+    """A point of a sphere moved by a tangent of two numbers; its length stays."""
+    t = F.sqrt(a * a + b * b)
+    sinc = F.when(t < 1e-7, 1.0).otherwise(F.sin(t) / F.when(t < 1e-7, 1.0).otherwise(t))
+    step = (sinc * a, sinc * b, F.cos(t))
+    v, beta = _householder(x)
+    return scale(sub(step, scale(v, beta * dot(v, step))), norm(x))
+
+
+def sphere_jacobian(x: Vec) -> tuple[Vec, Vec]:
+    """The columns of the derivative of ``sphere_plus`` by the tangent at 0, for a unit vector."""
+    v, beta = _householder(x)
+    column = lambda k: tuple((F.lit(1.0) if i == k else F.lit(0.0)) - beta * v[i] * v[k] for i in range(3))
+    return column(0), column(1)

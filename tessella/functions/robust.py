@@ -75,3 +75,14 @@ def moved_intrinsics(f: Column, distortion: Column, dx0: Column, dx1: Column) ->
 def damped(value: Column, diagonal: Column, damping: float, eps: float) -> Column:
     """A matrix entry with damping: on the diagonal plus eps and a share of itself."""
     return value + F.when(diagonal, damping * value + eps).otherwise(0.0)
+
+
+#: How variables of a name move by the steps of a solver; the caller may add its own.
+RETRACTORS: dict[str, Callable[..., Column | tuple[Column, ...]]] = {"dense_disp": moved_disparity, "tracks_disp": moved_track_disparity, "intrinsics": moved_intrinsics}
+
+
+def retracted(name: str, *columns: Column):
+    """A variable moved by its step, by the rule of its name; unknown names are refused."""
+    if name not in RETRACTORS:
+        raise ValueError(f"no variables {name!r}; one of {', '.join(sorted(RETRACTORS))}")
+    return RETRACTORS[name](*columns)

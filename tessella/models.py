@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import queue
+import threading
 from collections.abc import Callable, Iterator
+from typing import TypeVar
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -46,6 +49,60 @@ def estimate(name: str, value: Column) -> Column:
     return run(value)
 
 
+T_ = TypeVar("T_")
+
+
+def prefetched(items: Iterator[T_], ahead: int = 16) -> Iterator[T_]:
+    """Items in order, made by a thread that is up to ahead items in front; its errors appear where its next item would.
+
+    For the inside of mapInPandas and mapInArrow, where reading and a model's work then overlap.
+    """
+    end = object()
+    room: queue.Queue = queue.Queue(maxsize=max(1, ahead))
+    stop = threading.Event()
+
+    def put(x) -> bool:
+        while not stop.is_set():
+            try:
+                room.put(x, timeout=0.1)
+                return True
+            except queue.Full:
+                continue
+        return False
+
+    def make() -> None:
+        try:
+            for x in items:
+                if not put((None, x)):
+                    return
+            put((None, end))
+        except BaseException as e:  # handed to the reader
+            put((e, None))
+
+    threading.Thread(target=make, daemon=True).start()
+    try:
+        while True:
+            error, x = room.get()
+            if error is not None:
+                raise error
+            if x is end:
+                return
+            yield x
+    finally:
+        stop.set()
+
+
+def cached(frames: DataFrame, expected: int | None = None) -> tuple[DataFrame, int]:
+    """Frames kept for repeated passes and their number; fewer than expected shorten the stream, with a warning."""
+    import warnings
+
+    kept = frames.persist()
+    n = kept.count()
+    if expected is not None and n < expected:
+        warnings.warn(f"the stream ends after {n} of {expected} frames", stacklevel=2)
+    return kept, n
+
+
 class Processor:
     """A step of a frame pipeline: what it does to rows, and to the rate and the columns of the stream."""
 
@@ -70,3 +127,24 @@ def run(frames: DataFrame, steps: list[Processor]) -> DataFrame:
         for s in steps:
             out = s.rows(out, min(n, s.passes - 1))
     return out
+
+
+class Pipeline:
+    """Steps over the frames of many streams; what is wanted back is one of the payload and the frames.
+
+    should_filter(stream table) names streams to leave out, as rows of ``stream``.
+    """
+
+    def __init__(self, steps: list[Processor], payload: Callable[[DataFrame], object] | None = None, return_payload: bool = False, return_frames: bool = False, should_filter: Callable[[DataFrame], DataFrame] | None = None):
+        if return_payload and return_frames:
+            raise ValueError("either the payload or the frames are returned")
+        self.steps, self.payload, self.return_payload, self.return_frames, self.should_filter = steps, payload, return_payload, return_frames, should_filter
+
+    def run(self, frames: DataFrame, stream: str = "stream"):
+        if self.should_filter is not None:
+            gone = self.should_filter(frames.select(stream).distinct()).select(stream)
+            frames = frames.join(gone, stream, "left_anti")
+        out = run(frames, self.steps)
+        if self.return_payload:
+            return self.payload(out) if self.payload else None
+        return out if self.return_frames else None

@@ -84,3 +84,26 @@ def calibrated(rows: DataFrame, stream: str, width: float, height: float) -> Dat
         return pd.DataFrame({stream: [frame[stream].iloc[0]], "roll": [p[0]], "pitch": [p[1]], "focal": [f], "fov": [np.degrees(fov)], "gravity_sd": [float(np.sqrt(max(np.linalg.eigvalsh(cov[:2, :2]).max(), 0)))], "fov_sd": [float(np.degrees(slope * np.sqrt(max(cov[2, 2], 0))))], "cost": [cost]})
 
     return rows.groupBy(stream).applyInPandas(one, f"`{stream}` {kind}, roll double, pitch double, focal double, fov double, gravity_sd double, fov_sd double, cost double")
+
+
+def fit_mei(radial, most: float = 1.0, places: int = 50, rounds: int = 50) -> tuple[float, float]:
+    """The distortion k1 and the factor of the focal length of the one-parameter unified camera whose radial factor f / (1 + k1 sqrt(1 + r^2)) comes nearest to radial(r) up to a radius."""
+    r = np.linspace(0, most, places)
+    seen, root = np.asarray(radial(r), float), np.sqrt(1 + r * r)
+    k, f, lam = 1.0, 1.0, 1e-3
+    off = f / (1 + k * root) - seen
+    for _ in range(rounds):
+        j = np.stack((-f * root / (1 + k * root) ** 2, 1 / (1 + k * root)), axis=1)
+        h = j.T @ j
+        d = np.linalg.solve(h + lam * np.diag(np.diag(h)), -j.T @ off)
+        if (1 + (k + d[0]) * root <= 0).any():
+            lam *= 10
+            continue
+        then = (f + d[1]) / (1 + (k + d[0]) * root) - seen
+        if then @ then <= off @ off:
+            k, f, off, lam = k + d[0], f + d[1], then, max(lam / 10, 1e-12)
+            if np.abs(d).max() < 1e-13:
+                break
+        else:
+            lam *= 10
+    return float(k), float(f)

@@ -147,6 +147,42 @@ def splat(points: DataFrame, keys: list[str], u: str, v: str, width: int, height
     return sums.where(F.col("weight") >= least).select(*keys, "u", "v", "weight", *[(F.col(c) / F.col("weight")).alias(c) for c in values])
 
 
+def splat_in_place(points: DataFrame, keys: list[str], u: str, v: str, width: int, height: int, values: list[str]) -> DataFrame:
+    """Sums of values and weights over the four pixels from the rounded place on: keys, u, v, weight, values.
+
+    Places are image coordinates whose first pixel is floor(x + 0.5), so the
+    shares of a place lie between -0.5 and 1.5 and some are negative; places
+    with a pixel outside are left out.
+    """
+    x0, y0 = F.floor(F.col(u) + 0.5), F.floor(F.col(v) + 0.5)
+    inside = points.where((x0 >= 0) & (x0 + 1 < width) & (y0 >= 0) & (y0 + 1 < height))
+    fx, fy = F.col(u) - x0, F.col(v) - y0
+    corner = lambda dx, dy: F.struct((x0 + dx).alias("x"), (y0 + dy).alias("y"), ((fx if dx else 1 - fx) * (fy if dy else 1 - fy)).alias("w"))
+    spread = inside.withColumn("_c", F.explode(F.array(*[corner(dx, dy) for dx in (0, 1) for dy in (0, 1)])))
+    return spread.groupBy(*keys, F.col("_c.x").alias("u"), F.col("_c.y").alias("v")).agg(F.sum("_c.w").alias("weight"), *[F.sum(F.col(c) * F.col("_c.w")).alias(c) for c in values])
+
+
+def track_targets(observations: DataFrame, terms: DataFrame, size: tuple[int, int], field: tuple[int, int], least: float = 0.1) -> DataFrame:
+    """Where tracked points say that pixels go: term, v, u, target_u, target_v, weight.
+
+    observations (view, frame, point, x, y) of images of a size (width,
+    height); terms (term, view, source, target). The flow of the points that
+    both frames hold is splatted on a field (width, height); pixels that no
+    point weighs enough stay where they are, with weight 0.
+    """
+    kx, ky = field[0] / size[0], field[1] / size[1]
+    side = lambda f, n: observations.select("view", F.col("frame").alias(f), "point", (F.col("x") * kx).alias(f"{n}x"), (F.col("y") * ky).alias(f"{n}y"))
+    both = terms.join(side("source", "s"), ["view", "source"]).join(side("target", "t"), ["view", "target", "point"])
+    flow = both.select("term", "sx", "sy", (F.col("tx") - F.col("sx")).alias("fx"), (F.col("ty") - F.col("sy")).alias("fy"))
+    sums = splat_in_place(flow, ["term"], "sx", "sy", *field, ["fx", "fy"])
+    spark = observations.sparkSession
+    grid = spark.range(field[0] * field[1]).select(F.floor(F.col("id") / field[0]).alias("v"), (F.col("id") % field[0]).alias("u"))
+    every = terms.select("term").join(F.broadcast(grid))  # the grid is one field
+    good = F.coalesce(F.col("weight") >= least, F.lit(False))
+    moved = lambda at, f: F.col(at) + F.when(good, F.col(f) / F.col("weight")).otherwise(0.0)
+    return every.join(sums, ["term", "v", "u"], "left").select("term", "v", "u", moved("u", "fx").alias("target_u"), moved("v", "fy").alias("target_v"), F.when(good, F.col("weight")).otherwise(0.0).alias("weight"))
+
+
 def project_map(points: DataFrame, keys: list[str], u: str, v: str, depth: str, width: int, height: int, values: list[str]) -> DataFrame:
     """The nearest point of each pixel that sees any; equal depths go to the smaller values."""
     seen = points.where((F.col(u) > 0) & (F.col(u) < width) & (F.col(v) > 0) & (F.col(v) < height) & (F.col(depth) > 0))
@@ -167,13 +203,28 @@ def bilinear(grid: DataFrame, places: DataFrame, keys: list[str], u: str, v: str
     return got.groupBy("_row").agg(*[F.sum(F.coalesce(F.col(f"_g_{c}") * F.col("_w"), F.lit(0.0))).alias(c) for c in values]).select("_row.*", *values)
 
 
-def knn(queries: DataFrame, points: DataFrame, keys: list[str], axes: list[str], k: int, cell: float, query_id: str, point_id: str) -> DataFrame:
+#: Points of the fullest cell at the first width that is tried, per neighbour wanted.
+_FULL = 32
+
+
+def cell_width(points: DataFrame, keys: list[str], axes: list[str], k: int, widest: float, halvings: int = 10) -> float:
+    """The largest of widest / 2, / 4, ... whose fullest cell holds few points; each width is counted in one pass."""
+    at = F.struct(F.col("_w"), *[F.floor(F.col(f"p_{a}") / F.col("_w")).alias(a) for a in axes])
+    wide = points.withColumn("_w", F.explode(F.array(*[F.lit(widest / 2**n) for n in range(1, halvings + 1)])))
+    full = wide.groupBy(*keys, at.alias("_cell")).agg(F.count(F.lit(1)).alias("n")).groupBy("_cell._w").agg(F.max("n").alias("n")).collect()
+    fine = [r["_w"] for r in full if r["n"] <= _FULL * k]
+    return max(fine) if fine else widest / 2**halvings
+
+
+def knn(queries: DataFrame, points: DataFrame, keys: list[str], axes: list[str], k: int, cell: float | None, query_id: str, point_id: str) -> DataFrame:
     """The k nearest points (squared distance) of each query, exactly, up to three axes.
 
     Both sides meet in cells of a grid and in the cells around; a query whose
     k-th neighbour there may lie beyond them is asked again with cells four times
     as wide, until all have their neighbours or the keys hold too few points.
-    Ties go to the smaller point id.
+    Without a cell the first width is chosen so that even the fullest cell holds
+    few points, so crowds are settled among near points and only far queries
+    ask again. Ties go to the smaller point id.
     """
     dist = lambda: sum(((F.col(f"q_{a}") - F.col(f"p_{a}")) * (F.col(f"q_{a}") - F.col(f"p_{a}")) for a in axes[1:]), (F.col(f"q_{axes[0]}") - F.col(f"p_{axes[0]}")) * (F.col(f"q_{axes[0]}") - F.col(f"p_{axes[0]}")))
     q = queries.select(*keys, F.col(query_id), *[F.col(a).alias(f"q_{a}") for a in axes])
@@ -181,6 +232,8 @@ def knn(queries: DataFrame, points: DataFrame, keys: list[str], axes: list[str],
     bounds = p.agg(*[F.max(f"p_{a}").alias(f"hi_{a}") for a in axes], *[F.min(f"p_{a}").alias(f"lo_{a}") for a in axes]).first()
     qb = q.agg(*[F.max(f"q_{a}").alias(f"hi_{a}") for a in axes], *[F.min(f"q_{a}").alias(f"lo_{a}") for a in axes]).first()
     widest = max([1e-12] + [max(bounds[f"hi_{a}"], qb[f"hi_{a}"]) - min(bounds[f"lo_{a}"], qb[f"lo_{a}"]) for a in axes if bounds[f"hi_{a}"] is not None and qb[f"hi_{a}"] is not None])
+    if cell is None:
+        cell = cell_width(p, keys, axes, k, widest)
     done = None
     while True:
         grid = [F.floor(F.col(f"p_{a}") / cell).alias(f"c_{a}") for a in axes]
@@ -224,7 +277,8 @@ def new_objects(segments: DataFrame, tracked: DataFrame, pixel: list[str], segme
     on = segments.join(tracked.select(*pixel, F.lit(1).alias("_t")), pixel, "left")
     areas = on.groupBy(segment).agg(F.count(F.lit(1)).alias("total"), F.sum(F.when(F.col("_t").isNull(), 1).otherwise(0)).alias("area"))
     kept = areas.where((F.col("area") >= least_area) & (F.col("area") / F.col("total") >= least_share))
-    return kept.withColumn("object_id", F.row_number().over(Window.orderBy(segment))).where(F.col("object_id") <= most)
+    # The first ones are found without a global sort; as many rows as numbers are ranked.
+    return kept.orderBy(segment).limit(most).withColumn("object_id", F.row_number().over(Window.orderBy(segment)))
 
 
 def dot_product(a: Column, b: Column) -> Column:

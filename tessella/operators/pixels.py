@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import math
 import re
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessella.functions.lie import Quat, q_act
-from tessella.operators.joins import bilinear, dot_product
+from tessella.operators.joins import bilinear, dot_product, knn
 
 
 def _spread(rows: DataFrame, low: int, high: int) -> DataFrame:
@@ -110,16 +111,86 @@ def patch_correlation(a: DataFrame, b: DataFrame, keys: list[str], feature: str,
     return ask.join(other, [*keys, "_v", "_u"]).select(*keys, "v", "u", "dv", "du", dot_product(F.col("_a"), F.col("_b")).alias("corr"))
 
 
-def sparse_sample(rows: DataFrame, pattern: str, depth: str = "depth", height: int | None = None, seed: int = 0) -> DataFrame:
-    """Pixels by a named pattern: ``N`` random ones, ``downscale_k``, ``cubic_k``, ``distance_a_b``, ``LiDAR_n`` (n rows of the image)."""
+#: Depths at or below this are no measurement; pixels that the patterns ``cubic`` and ``distance`` sample; keypoints that ``keypoints`` needs.
+LEAST_DEPTH, SAMPLED, LEAST_KEYPOINTS = 1e-4, 2000, 20
+#: A scanner's points in a line, and the ends of its lines' pitch and of a line's yaw.
+LIDAR_POINTS, LIDAR_PITCH, LIDAR_YAW = 200, 0.5, math.pi / 2.1
+
+
+def _some(rows: DataFrame, keys: list[str], number: int, seed: int) -> DataFrame:
+    """At most so many pixels of each raster, drawn by a hash of the place."""
+    w = Window.partitionBy(*keys, F.lit(0)).orderBy(F.xxhash64(F.lit(seed), *keys, "v", "u"), "v", "u")
+    return rows.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= number).drop("_r")
+
+
+def lidar_pixels(spark: SparkSession, lines: int, width: int, height: int) -> DataFrame:
+    """The pixels (v, u) that a scanner of so many lines hits, seen by a camera with the image's height as focal length."""
+    turn = lambda n, m, end: F.lit(-end) if m == 1 else -end + F.col(n) * (2 * end / (m - 1))
+    grid = spark.range(lines * LIDAR_POINTS).select(F.floor(F.col("id") / LIDAR_POINTS).alias("line"), (F.col("id") % LIDAR_POINTS).alias("point"))
+    pitch, yaw = turn("line", lines, LIDAR_PITCH), turn("point", LIDAR_POINTS, LIDAR_YAW)
+    rays = grid.select(F.sin(pitch).alias("y"), (F.cos(pitch) * F.sin(yaw)).alias("x"))
+    z = F.sqrt(1 - F.col("x") * F.col("x") - F.col("y") * F.col("y"))
+    place = lambda c, middle: F.bround((height * F.col(c) + middle * z) / (z + 1e-8)).cast("int")
+    at = rays.select(place("y", height / 2).alias("v"), place("x", width / 2).alias("u")).distinct()
+    return at.where((F.col("u") >= 0) & (F.col("u") < width) & (F.col("v") >= 0) & (F.col("v") < height))
+
+
+def _downscaled(rows: DataFrame, keys: list[str], depth: str, factor: int, width: int, height: int) -> DataFrame:
+    """A raster's depths at a smaller size (blanks filled from five neighbours, corners kept), at the pixels where that raster's rows and columns begin."""
+    known = rows.where(F.col(depth) > LEAST_DEPTH).select(*keys, "v", "u", F.col(depth).alias("_z"), (F.col("v").cast("long") * width + F.col("u")).alias("_p"))
+    blank = rows.where(~(F.col(depth) > LEAST_DEPTH)).select(*keys, "v", "u", (F.col("v").cast("long") * width + F.col("u")).alias("_q"))
+    full = known.select(*keys, "v", "u", "_z")
+    if blank.limit(1).count():
+        near = knn(blank, known, keys, ["v", "u"], 5, None, "_q", "_p").join(known.select(*keys, "_p", "_z"), [*keys, "_p"])
+        filled = near.groupBy(*keys, "_q").agg(F.avg("_z").alias("_z"))
+        full = full.unionByName(filled.select(*keys, F.floor(F.col("_q") / width).cast("int").alias("v"), (F.col("_q") % width).cast("int").alias("u"), "_z"))
+    low_h, low_w = height // factor, width // factor
+    even = lambda n, m: F.col(n) * ((m[0] - 1) / (m[1] - 1)) if m[1] > 1 else F.lit(0.0)
+    grid = rows.sparkSession.range(low_h * low_w).select(F.floor(F.col("id") / low_w).alias("a"), (F.col("id") % low_w).alias("b"))
+    grid = grid.select(even("a", (height, low_h)).alias("y"), even("b", (width, low_w)).alias("x"), F.floor(F.col("a") * (height / low_h)).cast("int").alias("v"), F.floor(F.col("b") * (width / low_w)).cast("int").alias("u"))
+    places = rows.select(*keys).distinct().join(F.broadcast(grid)) if keys else grid  # the grid is one small raster
+    at = bilinear(full.withColumnRenamed("_z", "_d"), places.withColumnsRenamed({"v": "_tv", "u": "_tu"}), keys, "x", "y", ["_d"])
+    return at.select(*keys, F.col("_tv").alias("v"), F.col("_tu").alias("u"), F.col("_d").alias("_low"))
+
+
+def sparse_sample(rows: DataFrame, pattern: str, depth: str = "depth", width: int | None = None, height: int | None = None, seed: int = 0, keys: list[str] | None = None, keypoints: DataFrame | None = None) -> DataFrame:
+    """The pixels of each raster that a named pattern keeps, with whether they belong to a cover (``cover``).
+
+    ``N``: so many measured pixels, drawn by chance. ``downscale_k``: one pixel
+    for each of the raster at a k-th of the size, with that raster's depth.
+    ``cubic_k``: a square of k by k is cut out, SAMPLED of the rest are drawn.
+    ``distance_a_b``: of the pixels strictly between two whole distances SAMPLED
+    are drawn. ``LiDAR_n``: where n lines of a scanner hit. ``keypoints``: at
+    the caller's keypoints (keys, x, y); few of them mean SAMPLED drawn ones.
+    """
+    keys = keys or []
+    # Without a depth every pixel counts as measured.
+    measured = rows.where(F.col(depth) > LEAST_DEPTH) if depth in rows.columns else rows
+    uncovered = lambda df: df.withColumn("cover", F.lit(False))
     if re.fullmatch(r"\d+", pattern):
-        return rows.orderBy(F.xxhash64(F.lit(seed), "v", "u"), "v", "u").limit(int(pattern))
-    if m := re.fullmatch(r"(?:downscale|cubic)_(\d+)", pattern):
+        return uncovered(_some(measured, keys, int(pattern), seed))
+    if pattern == "keypoints" and keypoints is not None:
+        at = keypoints.select(*keys, F.bround("y").cast("int").alias("v"), F.bround("x").cast("int").alias("u"))
+        counts = keypoints.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+        few = measured.join(counts, keys, "left") if keys else measured.join(F.broadcast(counts))
+        few = few.withColumn("_n", F.coalesce("_n", F.lit(0)))
+        exact = few.where(F.col("_n") >= LEAST_KEYPOINTS).drop("_n").join(at.distinct(), [*keys, "v", "u"], "left_semi")
+        return uncovered(exact.unionByName(_some(few.where(F.col("_n") < LEAST_KEYPOINTS).drop("_n"), keys, SAMPLED, seed)))
+    if m := re.fullmatch(r"distance_(\d+)_(\d+)", pattern):
+        near = measured.where((F.col(depth) > int(m[1])) & (F.col(depth) < int(m[2])))
+        return _some(near, keys, SAMPLED, seed).withColumn("cover", F.lit(True))
+    if not (width and height):
+        raise ValueError(f"no sampling pattern {pattern!r} without the raster's size")
+    if m := re.fullmatch(r"LiDAR_(\d+)", pattern):
+        return uncovered(measured.join(F.broadcast(lidar_pixels(rows.sparkSession, int(m[1]), width, height)), ["v", "u"], "left_semi"))  # one raster's pixels at most
+    if m := re.fullmatch(r"cubic_(\d+)", pattern):
         k = int(m[1])
-        return rows.where((F.pmod(F.col("v"), F.lit(k)) == 0) & (F.pmod(F.col("u"), F.lit(k)) == 0))
-    if m := re.fullmatch(r"distance_([0-9.]+)_([0-9.]+)", pattern):
-        return rows.where(F.col(depth).between(float(m[1]), float(m[2])))
-    if (m := re.fullmatch(r"LiDAR_(\d+)", pattern)) and height:
-        n = int(m[1])
-        return rows.where(F.floor(F.col("v") * n / height) != F.floor((F.col("v") - 1) * n / height))
+        if k >= min(width, height):
+            raise ValueError(f"a square of {k} pixels needs a larger raster")
+        corner = lambda n, size: F.pmod(F.xxhash64(F.lit(seed), F.lit(n), *keys), F.lit(size - k))
+        hole = F.col("v").between(corner("v", height), corner("v", height) + k - 1) & F.col("u").between(corner("u", width), corner("u", width) + k - 1)
+        return _some(measured.where(~hole), keys, SAMPLED, seed).withColumn("cover", F.lit(True))
+    if m := re.fullmatch(r"downscale_(\d+)", pattern):
+        low = _downscaled(rows, keys, depth, int(m[1]), width, height)
+        return uncovered(measured.join(low, [*keys, "v", "u"]).where(F.col("_low") > LEAST_DEPTH).withColumn(depth, F.col("_low")).drop("_low"))
     raise ValueError(f"no sampling pattern {pattern!r}")

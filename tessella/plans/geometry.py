@@ -183,26 +183,37 @@ def pinhole_uv_visible(spark, d):
     return _rows(spark, d).select("vec_id", near(u).alias("u"), near(v).alias("v"), seen.alias("seen"))
 
 
-@query("camera_rays", "select cast(v as integer) as v, cast(u as integer) as u, round((u - 19.5) / 38 / n, 6) + 0.0 as x, round((v - 15.5) / 38 / n, 6) + 0.0 as y, round(1 / n, 6) + 0.0 as z from (select *, sqrt(pow((u - 19.5) / 38, 2) + pow((v - 15.5) / 38, 2) + 1) as n from (select unnest(range(32)) as v), (select unnest(range(40)) as u))")
+def _cameras(spark, d, width, height):
+    """Pixels of a raster for each supplier, whose key sets its camera."""
+    frames = table(spark, d, "supplier").select(F.col("s_suppkey").alias("k"))
+    return frames.join(F.broadcast(camera.pixel_grid(spark, width, height)))  # the grid is one raster
+
+
+def _pixels_sql(width, height):
+    return f"(select s_suppkey as k, cast(v as integer) as v, cast(u as integer) as u from supplier, (select unnest(range({height})) as v), (select unnest(range({width})) as u))"
+
+
+@query("camera_rays", f"select k, v, u, round((u - 19.5) / f / n, 6) + 0.0 as x, round((v - 15.5) / f / n, 6) + 0.0 as y, round(1 / n, 6) + 0.0 as z from (select *, sqrt(pow((u - 19.5) / f, 2) + pow((v - 15.5) / f, 2) + 1) as n from (select *, 38.0::double + k % 7 as f from {_pixels_sql(40, 32)}))")
 def camera_rays(spark, d):
-    cam = camera.Pinhole(*map(F.lit, (38.0, 38.0, 19.5, 15.5)))
-    p = camera.rays(F.col("u"), F.col("v"), cam, unit=True)
-    return camera.pixel_grid(spark, 40, 32).select("v", "u", *[near(c).alias(n) for c, n in zip(p, "xyz", strict=True)])
+    f = 38.0 + F.col("k") % 7
+    p = camera.rays(F.col("u"), F.col("v"), camera.Pinhole(f, f, F.lit(19.5), F.lit(15.5)), unit=True)
+    return _cameras(spark, d, 40, 32).select("k", "v", "u", *[near(c).alias(n) for c, n in zip(p, "xyz", strict=True)])
 
 
-@query("panorama_rays", "select cast(v as integer) as v, cast(u as integer) as u, round(sin(v / 15.0 * pi()) * sin((u / 31.0 - 0.5) * 2 * pi()), 6) + 0.0 as x, round(-cos(v / 15.0 * pi()), 6) + 0.0 as y, round(sin(v / 15.0 * pi()) * cos((u / 31.0 - 0.5) * 2 * pi()), 6) + 0.0 as z from (select unnest(range(16)) as v), (select unnest(range(32)) as u)")
+@query("panorama_rays", f"select k, v, u, round(sin(v / 15.0 * pi()) * sin((u / 31.0 - 0.5) * 2 * pi()), 6) + 0.0 as x, round(-cos(v / 15.0 * pi()), 6) + 0.0 as y, round(sin(v / 15.0 * pi()) * cos((u / 31.0 - 0.5) * 2 * pi()), 6) + 0.0 as z from {_pixels_sql(32, 16)}")
 def panorama_rays(spark, d):
     p = camera.panorama_rays(F.col("u"), F.col("v"), 32, 16)
-    return camera.pixel_grid(spark, 32, 16).select("v", "u", *[near(c).alias(n) for c, n in zip(p, "xyz", strict=True)])
+    return _cameras(spark, d, 32, 16).select("k", "v", "u", *[near(c).alias(n) for c, n in zip(p, "xyz", strict=True)])
 
 
-@query("depth_to_points", "select cast(v as integer) as v, cast(u as integer) as u, round((u - 19.5) / 38 * z, 5) + 0.0 as x, round((v - 15.5) / 38 * z, 5) + 0.0 as y, z from (select *, 1.0::double + u * 0.1 + v * 0.01 as z from (select unnest(range(32)) as v), (select unnest(range(40)) as u)) where u % 8 = 3 and v % 8 = 3")
+@query("depth_to_points", f"select k, v, u, round((u - 19.5) / f * z, 6) + 0.0 as x, round((v - 15.5) / f * z, 6) + 0.0 as y, z from (select *, 1.0::double + u * 0.1 + v * 0.01 + k as z, 38.0::double + k % 7 as f from {_pixels_sql(40, 32)} where u % 8 = 3 and v % 8 = 3)")
 def depth_to_points(spark, d):
-    """Points of a depth map on the strided grid: pixels 3, 11, 19 and so on."""
-    cam = camera.Pinhole(*map(F.lit, (38.0, 38.0, 19.5, 15.5)))
-    g = camera.pixel_grid(spark, 40, 32).where("pmod(u, 8) = 3 and pmod(v, 8) = 3").withColumn("z", 1.0 + F.col("u") * 0.1 + F.col("v") * 0.01)
+    """Points of depth maps on the strided grid: pixels 3, 11, 19 and so on."""
+    f = 38.0 + F.col("k") % 7
+    cam = camera.Pinhole(f, f, F.lit(19.5), F.lit(15.5))
+    g = _cameras(spark, d, 40, 32).where("pmod(u, 8) = 3 and pmod(v, 8) = 3").withColumn("z", 1.0 + F.col("u") * 0.1 + F.col("v") * 0.01 + F.col("k"))
     ray = cam.unproject(F.col("u"), F.col("v"))
-    return g.select("v", "u", near(ray[0] * F.col("z"), 5).alias("x"), near(ray[1] * F.col("z"), 5).alias("y"), "z")
+    return g.select("k", "v", "u", near(ray[0] * F.col("z")).alias("x"), near(ray[1] * F.col("z")).alias("y"), "z")
 
 
 @query(

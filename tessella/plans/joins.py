@@ -188,14 +188,14 @@ def project_map_nearest(spark, d):
 
 @query(
     "bilinear_sample",
-    f"""with c as (select *, floor(u) as x0, floor(v) as y0 from (select p % 100 as k, u, v from ({_PLACES}) where z < 2000)),
+    f"""with c as (select *, floor(u) as x0, floor(v) as y0 from (select distinct p % 100 as k, u, v from ({_PLACES}))),
     s as (select k, u, v, x0 + dx as x, y0 + dy as y, (case when dx = 1 then u - x0 else 1 - (u - x0) end) * (case when dy = 1 then v - y0 else 1 - (v - y0) end) as w
           from c, (select unnest([0, 1]) as dx), (select unnest([0, 1]) as dy))
     select k, round(u, 6) as u, round(v, 6) as v, round(sum(case when x between 0 and 11 and y between 0 and 5 then w * (x * x + 3 * y) else 0 end), 6) + 0.0 as value from s group by k, s.u, s.v""",
 )
 def bilinear_sample(spark, d):
     grid = camera.pixel_grid(spark, 12, 6).select("u", "v", (F.col("u") * F.col("u") + 3 * F.col("v")).cast("double").alias("value"))
-    places = _places(spark, d).where("z < 2000").select((F.col("p") % 100).alias("k"), "u", "v").distinct()
+    places = _places(spark, d).select((F.col("p") % 100).alias("k"), "u", "v").distinct()
     return joins.bilinear(grid, places, [], "u", "v", ["value"]).select("k", F.round("u", 6).alias("u"), F.round("v", 6).alias("v"), near(F.col("value")).alias("value"))
 
 
@@ -301,3 +301,28 @@ def viewer_outer(spark, d):
     orders = table(spark, d, "orders").where(sampled(F.col("o_orderkey"), 5)).select("o_orderkey", "o_custkey")
     some = table(spark, d, "customer").where("c_acctbal > 0").select(F.col("c_custkey").alias("o_custkey"), "c_name")
     return orders.join(some, "o_custkey", "left").select("o_orderkey", "c_name")
+
+
+@query("splat_in_place", f"""with c as (select *, floor(u + 0.5) as x0, floor(v + 0.5) as y0 from ({_PLACES})),
+    s as (select flag, x0 + dx as x, y0 + dy as y, (case when dx = 1 then u - x0 else 1 - (u - x0) end) * (case when dy = 1 then v - y0 else 1 - (v - y0) end) as w, z
+          from (select * from c where x0 >= 0 and x0 + 1 < 16 and y0 >= 0 and y0 + 1 < 8), (select unnest([0, 1]) as dx), (select unnest([0, 1]) as dy))
+    select flag, cast(x as bigint) as u, cast(y as bigint) as v, round(sum(w), 4) + 0.0 as weight, round(sum(w * z), 1) + 0.0 as z from s group by 1, 2, 3""")
+def splat_in_place(spark, d):
+    """Shares of rounded corners, some of them negative."""
+    out = joins.splat_in_place(_places(spark, d), ["flag"], "u", "v", 16, 8, ["z"])
+    return out.select("flag", "u", "v", near(F.col("weight"), 4).alias("weight"), near(F.col("z"), 1).alias("z"))
+
+
+@query("proximity_edges")
+def proximity_edges(spark, d):
+    """Edges of a graph for each label: frames are its vectors in order, distances those of their first elements; every seventh pair is known."""
+    from tessella.operators import graph
+
+    w = Window.partitionBy("label").orderBy("vec_id")
+    frames = table(spark, d, "embeddings").select("label", (F.row_number().over(w) - 1).cast("long").alias("n"), *[F.col("embedding")[i].cast("double").alias(f"e{i}") for i in range(3)])
+    a, b = (frames.select("label", F.col("n").alias(s), *[F.col(f"e{i}").alias(f"{s}{i}") for i in range(3)]) for s in "ij")
+    way = sum(((F.col(f"i{k}") - F.col(f"j{k}")) * (F.col(f"i{k}") - F.col(f"j{k}")) for k in (1, 2)), (F.col("i0") - F.col("j0")) * (F.col("i0") - F.col("j0")))
+    # All pairs of one graph of bounded size.
+    pairs = a.join(b, "label").select("label", "i", "j", (F.sqrt(way) * 4).alias("d"))
+    known = pairs.where("j = i - 7 and i % 7 = 0").select("label", "i", "j")
+    return graph.proximity_edges(pairs, known, "label", most=200, limit=6.0)

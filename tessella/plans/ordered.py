@@ -122,11 +122,11 @@ def memory_bank(spark, d):
 
 @query(
     "edge_list_sorted",
-    "select l_suppkey as i, l_partkey as j, round(avg(l_tax), 6) + 0.0 as weight from lineitem group by 1, 2 order by i, j limit 500",
+    "select l_suppkey as i, l_partkey as j, round(avg(l_tax), 6) + 0.0 as weight from lineitem group by 1, 2 order by i, j",
 )
 def edge_list_sorted(spark, d):
     e = table(spark, d, "lineitem").groupBy(F.col("l_suppkey").alias("i"), F.col("l_partkey").alias("j")).agg(near(F.avg("l_tax")).alias("weight"))
-    return e.orderBy("i", "j").limit(500)
+    return e.orderBy("i", "j")
 
 
 @query(
@@ -222,3 +222,44 @@ def clip_catalogue(spark, d):
 def blend_weights(spark, d):
     total = F.aggregate(text.cross_fade_weights(F.col("n_nationkey")), F.lit(0.0), lambda a, x: a + x)
     return table(spark, d, "nation").where("n_nationkey > 0").select(F.col("n_nationkey").alias("n"), near(total).alias("inner_sum"))
+
+
+_STITCH = """select s_suppkey as stream, w as window_no, p as place, x as pixel, (4 + sin((w * 22 + p) * 0.11 + s_suppkey) + 0.3 * x + 0.01 * x * sin(w * 22 + p)) * (1 + 0.1 * w + 0.01 * (s_suppkey % 5)) + 0.05 * w as value
+    from supplier, (select unnest(range(4)) as w), (select unnest(range(32)) as p), (select unnest(range(6)) as x)"""
+
+
+@query(
+    "window_stitch",
+    f"""with recursive d as ({_STITCH}), m as (select c.stream, c.window_no, count(*) as n, sum(c.value) as x, sum(c.value * c.value) as xx,
+        sum(case when c.place = 0 then f.value else 0 end) as y, sum(case when c.place = 0 then c.value * f.value else 0 end) as xy, sum(c.place) as m, sum(c.place * c.value) as bx, sum(c.place * l.value) as r, sum(c.place * c.value * l.value) as xr
+        from d c join d f on f.stream = c.stream and f.pixel = c.pixel and f.window_no = 0 and f.place = 0 join d l on l.stream = c.stream and l.pixel = c.pixel and l.window_no = c.window_no - 1 and l.place = 12
+        where c.window_no > 0 and c.place < 2 group by 1, 2),
+    t as (select distinct stream, 0::bigint as window_no, 1.0::double as a, 0.0::double as b from d
+          union all select stream, window_no, (n * xy2 - x * y2) / (n * xx - x * x), (xx * y2 - x * xy2) / (n * xx - x * x) from (select m.*, m.y + t.a * m.r + t.b * m.m as y2, m.xy + t.a * m.xr + t.b * m.bx as xy2 from t join m on m.stream = t.stream and m.window_no = t.window_no + 1)),
+    v as (select d.stream, d.window_no * 22 + d.place as frame_idx, d.pixel, case when d.window_no = 0 then d.value else greatest(d.value * a + b, 0) end as z,
+        case when d.window_no > 0 and d.place < 2 then 0 when d.window_no > 0 and d.place < 10 then (d.place - 2) / 7.0::double when d.window_no < 3 and d.place >= 24 then 1 - (d.place - 24) / 7.0::double else 1 end as w from d join t on t.stream = d.stream and t.window_no = d.window_no)
+    select stream, frame_idx, pixel, round(sum(z * w), 5) + 0.0 as value from v group by 1, 2, 3""",
+)
+def window_stitch(spark, d):
+    """Windows of 32 predictions with 10 in common, each in a scale of its own, chained to one series."""
+    rows = table(spark, d, "supplier").select(F.col("s_suppkey").alias("stream"))
+    for name, n in (("window_no", 4), ("place", 32), ("pixel", 6)):
+        rows = rows.withColumn(name, F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long"))))
+    t = F.col("window_no") * 22 + F.col("place")
+    value = (4 + F.sin(t * 0.11 + F.col("stream")) + 0.3 * F.col("pixel") + 0.01 * F.col("pixel") * F.sin(t)) * (1 + 0.1 * F.col("window_no") + 0.01 * (F.col("stream") % 5)) + 0.05 * F.col("window_no")
+    out = windows.stitched(rows.withColumn("value", value), "stream", ["pixel"], "value")
+    return out.select("stream", "frame_idx", "pixel", near(F.col("value"), 5).alias("value"))
+
+
+@query(
+    "shared_scale",
+    """with recursive e as (select user_id, value, event_id, row_number() over (partition by user_id order by event_id) - 1 as n, count(*) over (partition by user_id) as len from events),
+    w as (select user_id, unnest(range(cast(greatest(ceil((n - 63) / 48.0), 0) as bigint), cast(least(n // 48, greatest(ceil((len - 64) / 48.0), 0)) as bigint) + 1)) as window_no, value, event_id from e),
+    s as (select user_id, window_no, case when avg((value > 20)::int) >= 0.05 then quantile_disc(case when value > 20 then (event_id % 100 + 50) / value end, 0.5) end as own from w group by 1, 2),
+    f as (select user_id, window_no, own as s from s where window_no = 0 union all select s.user_id, s.window_no, case when s.own is null then f.s when f.s is null then s.own else 0.9 * f.s + 0.1 * s.own end from f join s on s.user_id = f.user_id and s.window_no = f.window_no + 1)
+    select user_id, window_no, round(coalesce(s, 1), 6) + 0.0 as scale from f""",
+)
+def shared_scale(spark, d):
+    e = _events(spark, d)
+    rows = e.select("user_id", (F.row_number().over(Window.partitionBy("user_id").orderBy("event_id")) - 1).cast("long").alias("n"), "value", (F.col("event_id") % 100 + 50).cast("double").alias("t"))
+    return windows.shared_scale(rows, "user_id", "n", "value", "t", F.col("value") > 20).select("user_id", "window_no", near(F.col("scale")).alias("scale"))

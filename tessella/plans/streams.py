@@ -37,11 +37,12 @@ def stream_object_numbers(spark, d):
     return folds.drain(folds.object_numbers(rows, "user_id", ["event_id"], "event_type"), f"on_{uuid.uuid4().hex}").select("user_id", "event_id", "object_id")
 
 
-@query("stream_tumbling", "select event_type, count(*) as n, round(sum(value), 4) + 0.0 as total from events group by event_type, date_trunc('day', ts)")
+@query("stream_tumbling", "select strftime(date_trunc('day', ts), '%Y-%m-%d') as day, event_type, count(*) as n, round(sum(value), 4) + 0.0 as total from events group by event_type, date_trunc('day', ts)")
 def stream_tumbling(spark, d):
-    rows = _stream(spark, d).withColumn("ts", F.col("ts").cast("timestamp"))
+    # Times without a zone are read as UTC, in which windows of days begin.
+    rows = _stream(spark, d).withColumn("ts", F.from_utc_timestamp(F.col("ts").cast("timestamp"), F.current_timezone()))
     out = folds.tumbling(rows, "ts", "1 day", ["event_type"], "value")
-    return folds.drain(out, f"tw_{uuid.uuid4().hex}", "complete").select("event_type", "n", (F.round("total", 4) + 0.0).alias("total"))
+    return folds.drain(out, f"tw_{uuid.uuid4().hex}", "complete").select(F.date_format(F.to_utc_timestamp("start", F.current_timezone()), "yyyy-MM-dd").alias("day"), "event_type", "n", (F.round("total", 4) + 0.0).alias("total"))
 
 
 @query(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessella.functions.lie import SE3
@@ -38,6 +38,27 @@ def save_map(points: DataFrame, path: str) -> None:
     points.write.mode("overwrite").partitionBy("stream_id").parquet(path)
 
 
+def load_map(spark: SparkSession, path: str, edges: str | None = None) -> tuple[DataFrame, DataFrame | None]:
+    """Map points as ``save_map`` wrote them, and the edges where they were written too."""
+    return spark.read.parquet(path), None if edges is None else spark.read.parquet(edges)
+
+
+def save_intermediate(poses: DataFrame, intrinsics: DataFrame, rig: DataFrame, trajectory: DataFrame, base: str, view: int, flags: dict[str, str] | None = None) -> None:
+    """The tables of one view's reconstruction (poses, intrinsics, the rig's transform, the base trajectory) and its flags, a folder each."""
+    spark = poses.sparkSession
+    for name, rows in (("pose", poses), ("intrinsics", intrinsics), ("rig", rig)):
+        (rows.where(F.col("view") == view) if "view" in rows.columns else rows).write.mode("overwrite").parquet(f"{base}/{name}")
+    trajectory.write.mode("overwrite").parquet(f"{base}/trajectory")
+    named = [(k, str(v)) for k, v in sorted({"view": str(view), **(flags or {})}.items())]
+    spark.createDataFrame(named, "name string, value string").write.mode("overwrite").parquet(f"{base}/flags")
+
+
+def save_depth(frames: DataFrame, path: str, depth: str = "depth") -> None:
+    """Depths at half precision, pixel by pixel; frames and pixels without one are left out."""
+    rows = frames.where(F.col(depth).isNotNull()).withColumn(depth, half(F.col(depth)).cast("float"))
+    rows.write.mode("overwrite").partitionBy(*[c for c in ("stream_id",) if c in frames.columns]).parquet(path)
+
+
 def half(value: Column) -> Column:
     """A value as half precision would keep it: 11 significant bits, the step of small ones fixed, large ones infinite."""
     size = F.abs(value)

@@ -150,8 +150,11 @@ def make(kind: str, spark: SparkSession, **options) -> DataFrame:
     return REGISTRY[kind](spark, **options)
 
 
-def pose_arrays(spark: SparkSession, path: str) -> DataFrame:
-    """Poses of ``.npz`` files (inds, 4x4 data, camera to world): stream_id, inds, tx .. qw."""
+def pose_arrays(spark: SparkSession, path: str, benchmark: bool = False) -> DataFrame:
+    """Poses of ``.npz`` files (inds, 4x4 data, camera to world): stream_id, inds, tx .. qw.
+
+    With benchmark also runtime, keyframe_ids and frame_num of the file, null where it has none.
+    """
     import io
 
     import numpy as np
@@ -165,8 +168,10 @@ def pose_arrays(spark: SparkSession, path: str) -> DataFrame:
             for p, c in zip(batch.path, batch.content, strict=True):
                 with np.load(io.BytesIO(c), allow_pickle=False) as z:
                     inds, data = z["inds"].astype(np.int64), z["data"].astype(float).reshape(len(z["inds"]), 16)
-                yield pd.DataFrame({"path": p, "inds": inds, "m": list(data)})
+                    one = lambda n, kind: kind(z[n]) if n in z else None  # noqa: E731, B023
+                    more = one("runtime", float), one("keyframe_ids", lambda x: np.atleast_1d(x).astype(np.int64).tolist()), one("frame_num", int)
+                yield pd.DataFrame({"path": p, "inds": inds, "m": list(data), "runtime": more[0], "keyframe_ids": [more[1]] * len(inds), "frame_num": pd.array([more[2]] * len(inds), "Int64")})
 
-    rows = files.mapInPandas(run, "path string, inds long, m array<double>")
+    rows = files.mapInPandas(run, "path string, inds long, m array<double>, runtime double, keyframe_ids array<long>, frame_num long")
     m = [[F.col("m")[4 * r + c] for c in range(4)] for r in range(4)]
-    return rows.select(F.regexp_extract("path", r"([^/]+)\.npz$", 1).alias("stream_id"), "inds", *SE3.of_matrix(m).columns())
+    return rows.select(F.regexp_extract("path", r"([^/]+)\.npz$", 1).alias("stream_id"), "inds", *SE3.of_matrix(m).columns(), *(["runtime", "keyframe_ids", "frame_num"] if benchmark else []))
