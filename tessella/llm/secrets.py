@@ -2,16 +2,18 @@
 
 A worklist starts with the text itself. Each layer is scanned, then unwrapped:
 URL escapes and Unicode escapes are decoded in place, runs of base64 and
-hexadecimal digits that hold gzip/zlib data or bytes with enough ASCII
+hexadecimal digits that hold compressed data (gzip, zlib, bzip2, xz, plain deflate) or bytes with enough ASCII
 characters in a row (in UTF-8, Latin-1, UTF-16 or among others) become layers
 of their own. New layers join the worklist until none is left; a layer seen
 before at the same place is not taken again, so data that unpack to themselves
 end. Spans found in a layer are mapped to the characters of the original text
 that encode them.
 
-Defined results: a null text counts as empty and has no spans; repeated rows
-give repeated results; a null doc_id stays null; only ``doc_id`` and ``text``
-are read. Layers are visited depth first and let go. Compressed data are
+Defined results: a null text counts as empty and has no spans; texts are read
+whole, however long; spans of one start go by their kind in the order of KINDS,
+then by their end; equal spans of different layers count once; repeated rows
+give repeated results; a null doc_id stays null; an empty table gives an empty
+result; only ``doc_id`` and ``text`` are read, so other columns cannot clash. Layers are visited depth first and let go. Compressed data are
 inflated as a stream and scanned in blocks that end outside of encoded runs; an
 encoded run of more than LIMIT bytes inside compressed data is cut there. A
 document whose distinct layers have more than WORK characters (a compressed
@@ -21,7 +23,9 @@ bomb) keeps the spans found so far. Both have ``unpacked`` false.
 from __future__ import annotations
 
 import base64
+import bz2
 import hashlib
+import lzma
 import re
 import zlib
 from bisect import bisect_right
@@ -158,11 +162,46 @@ def _texts(data: bytes) -> Iterator[str]:
             yield data.decode(name, "replace")
 
 
-def _compressed(data: bytes) -> int:
-    """The window bits to inflate data with, 0 for data that are not compressed."""
+def _compressed(data: bytes) -> str:
+    """The format of compressed data by how they begin; empty for others."""
     if data[:2] == b"\x1f\x8b":
-        return 31
-    return 15 if len(data) > 2 and data[0] == 0x78 and (data[0] * 256 + data[1]) % 31 == 0 else 0
+        return "gzip"
+    if len(data) > 2 and data[0] == 0x78 and (data[0] * 256 + data[1]) % 31 == 0:
+        return "zlib"
+    if data[:3] == b"BZh" and data[3:4].isdigit():
+        return "bzip2"
+    return "xz" if data[:6] == b"\xfd7zXZ\0" else ""
+
+
+#: Bytes that tell whether data without a header are deflated text.
+_GUESS = 1 << 10
+
+
+def _deflated(data: bytes) -> bool:
+    """Whether data without a header inflate to text."""
+    try:
+        return bool(_ASCII.search(zlib.decompressobj(-15).decompress(data, _GUESS)))
+    except zlib.error:
+        return False
+
+
+def _unpacker(kind: str):
+    """A function from a part of the data, and how many bytes to make at most, to what they make and what is left of them."""
+    if kind in ("bzip2", "xz"):
+        worker = bz2.BZ2Decompressor() if kind == "bzip2" else lzma.LZMADecompressor(lzma.FORMAT_XZ)
+
+        def run(part: bytes, most: int) -> tuple[bytes, bytes, bool, bool]:
+            out = worker.decompress(part, most)
+            return out, worker.unused_data if worker.eof else b"", worker.eof, not worker.eof and not worker.needs_input
+
+        return run
+    inflate = zlib.decompressobj({"gzip": 31, "zlib": 15, "deflate": -15}[kind])
+
+    def run(part: bytes, most: int) -> tuple[bytes, bytes, bool, bool]:
+        out = inflate.decompress(part, most)
+        return out, inflate.unused_data if inflate.eof else inflate.unconsumed_tail, inflate.eof, False
+
+    return run
 
 
 class Budget:
@@ -179,23 +218,24 @@ class Budget:
         return True
 
 
-def _inflated(data: Iterator[bytes], bits: int, budget: Budget) -> Iterator[bytes]:
-    """The content of gzip or zlib data, of all members, as far as it is sound."""
-    worker = zlib.decompressobj(bits)
+def _inflated(data: Iterator[bytes], kind: str, budget: Budget) -> Iterator[bytes]:
+    """The content of compressed data, of all members, as far as it is sound."""
+    run = _unpacker(kind)
     for part in data:
-        while part:
+        more = False
+        while part or more:
             try:
-                out = worker.decompress(part, BLOCK)
-            except zlib.error:
+                out, part, ended, more = run(part, BLOCK)
+            except (zlib.error, lzma.LZMAError, OSError):
                 return
             if out:
                 if not budget.take(len(out)):
                     return
                 yield out
-            part = worker.unconsumed_tail
-            if worker.eof:
-                part = worker.unused_data
-                worker = zlib.decompressobj(bits)
+            if ended:
+                if part and _compressed(part) != kind:
+                    return  # what follows the last member is no data
+                run, more = _unpacker(kind), False
 
 
 def _blocks(data: Iterator[bytes], budget: Budget) -> Iterator[bytes]:
@@ -222,18 +262,23 @@ def _blocks(data: Iterator[bytes], budget: Budget) -> Iterator[bytes]:
 
 def _meaning(data: bytes, budget: Budget) -> Iterator[str]:
     """Texts that bytes are, and those that they hold through any number of compressed layers."""
-    yield from _texts(data)
-    if not _compressed(data):
+    shown = False
+    for text in _texts(data):
+        shown = True
+        yield text
+    # Deflated data without a header are recognised by what they make.
+    kind = _compressed(data) or ("deflate" if not shown and _deflated(data) else "")
+    if not kind:
         return
     stream, head = iter((data,)), data
     for _ in range(DEEP):
-        if not (bits := _compressed(head)):
+        if not kind:
             break
-        stream = _inflated(stream, bits, budget)
+        stream = _inflated(stream, kind, budget)
         head = b""
-        while len(head) < 3 and (part := next(stream, b"")):
+        while len(head) < 6 and (part := next(stream, b"")):
             head += part
-        stream = chain((head,), stream)
+        stream, kind = chain((head,), stream), _compressed(head)
     else:
         budget.whole = budget.whole and not _compressed(head)
     for block in _blocks(stream, budget):
