@@ -1,20 +1,29 @@
-"""URL rules by a sort-merge range join over reversed-host keys.
+"""URL rules by sort-merge range joins over canonical keys.
 
 The labels of a host are reversed and closed with a dot, so that a host and
-all its subdomains are one interval of keys: ``example.net`` owns
-``net.example.`` up to ``net.example/`` (the next character). Hosts of rules
-nest or are disjoint. Rows and the starts of rules are cut into buckets at the
-same keys and sorted there; a sweep keeps a stack of the rules that are open
-by their depth in labels, one slot for each depth, and every row looks at the
-slots whose interval still holds its key. Rules that are open where a bucket
-begins are copied into it. Equal hosts are spread over buckets by a hash behind
-the key, so a hot host is no hot bucket.
+all its subdomains are one interval of keys: ``example.net`` owns all keys that
+begin with ``net.example.``; behind the key of a rule's host, the paths that
+begin with the rule's path are one interval again. Intervals of either kind
+nest or are disjoint. A sweep over rows and starts of rules, sorted together,
+therefore needs the last start alone: with the stack of the rules that it lies
+in, made beforehand from the rules, it holds every rule that can be open at a
+row, the innermost first.
+
+The first sweep gives each row the rules' hosts that it lies under, the second
+one, for each of these hosts, the rules whose paths it begins with. Rows and
+starts are cut into buckets at the same keys, and every bucket begins with the
+last start before it. Equal keys of rows are spread over buckets by a hash
+behind them, so a hot host or url is no hot bucket. A row carries the stack of
+one rule, never all rules of a host.
 
 Defined results: a url that is null or has no ``://`` has empty host and path
-and meets no rule; the longest rule (host and path together, then the longer
-host, then ``block``) wins; rows without a rule get the default verdict;
-repeated rows are judged each; rules without host are ignored, repeated rules
-count once; of the table only the id and ``url`` are read.
+and meets no rule; urls are read whole, however long; the longest rule (host
+and path together, then the longer host, then ``block``) wins; rows without a
+rule get the default verdict; repeated rows are judged each; rules without
+host are ignored, repeated rules count once; hosts and paths of rules may nest
+to any depth; an empty table of pages gives an empty result, one of rules the
+default; of the table only the id and ``url`` are read, so other columns
+cannot clash.
 """
 
 from __future__ import annotations
@@ -25,8 +34,8 @@ from pyspark.sql import functions as F
 from tessella.llm import scratch
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: Labels of a rule's host: the name system allows no more.
-DEEPEST = 127
+#: Between the key of a host and what follows it.
+_MARK = "\x01"
 
 
 def split_url(url: Column) -> tuple[Column, Column]:
@@ -67,32 +76,70 @@ def _cuts(keys: DataFrame, buckets: int) -> list[list[str]]:
     return [found[i : i + width] for i in range(0, len(found), width)]
 
 
+def _spread(*columns: str) -> Column:
+    """A hash that parts equal keys, behind a character that sorts below all others."""
+    return F.concat(F.lit("\x00"), F.lpad(F.hex(F.xxhash64(*columns)), 16, "0"))
+
+
+def _host_stacks(rules: DataFrame) -> DataFrame:
+    """key and slot of each host of rules: the hosts of rules that it lies under, itself first."""
+    hosts = rules.select("host").distinct()
+    labels = F.split("host", r"\.")
+    above = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.concat_ws(".", F.slice(labels, i, F.size(labels))))
+    wide = hosts.select("host", F.explode(above).alias("of")).join(hosts.withColumnRenamed("host", "of"), "of")
+    entry = F.struct((-F.length("of")).alias("a"), F.col("of").alias("host"), host_key(F.col("of")).alias("key"))
+    return wide.groupBy("host").agg(F.array_sort(F.collect_set(entry)).alias("slot")).select(host_key(F.col("host")).alias("key"), "slot")
+
+
+def _path_stacks(rules: DataFrame) -> DataFrame:
+    """key and slot of each rule: the rules of its host whose paths its own begins with, the longest first."""
+    sizes = rules.select("host", F.length("path").alias("n")).distinct()
+    wide = rules.select("host", F.col("path").alias("own")).join(sizes, "host").where(F.col("n") <= F.length("own"))
+    wide = wide.withColumn("path", F.substring("own", F.lit(1), F.col("n"))).join(rules, ["host", "path"])
+    entry = F.struct((-F.col("n")).alias("a"), F.col("path").alias("path"), F.col("verdict").alias("verdict"), F.col("host").alias("host"))
+    slots = wide.groupBy("host", "own").agg(F.array_sort(F.collect_set(entry)).alias("slot"))
+    return slots.select(F.concat(host_key(F.col("host")), F.lit(_MARK), F.col("own")).alias("key"), "slot")
+
+
+def _swept(rows: DataFrame, starts: DataFrame, buckets: int) -> DataFrame:
+    """rows (key, row) with the slot of the last start (key, slot) at or below their key."""
+    spark = rows.sparkSession
+    cuts = _cuts(rows.select("key"), buckets)
+    placed = starts.select(_bucket(F.col("key"), cuts).alias("bucket"), "key", "slot")
+    last = placed.groupBy("bucket").agg(F.max_by("slot", "key").alias("slot"))
+    # One row for each bucket.
+    every = spark.range(sum(map(len, cuts)) + 1).select(F.col("id").cast("int").alias("bucket")).join(last, "bucket", "left")
+    before = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    opened = every.select("bucket", F.lit("").alias("key"), F.last("slot", ignorenulls=True).over(before).alias("slot"))
+    none = F.lit(None).cast(rows.schema["row"].dataType).alias("row")
+    held = placed.unionByName(opened).select("bucket", "key", F.lit(0).alias("asks"), none, "slot")
+    asked = rows.select(_bucket(F.col("key"), cuts).alias("bucket"), "key", F.lit(1).alias("asks"), "row", F.lit(None).cast(starts.schema["slot"].dataType).alias("slot"))
+    sweep = Window.partitionBy("bucket").orderBy("key", "asks").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return asked.unionByName(held).withColumn("slot", F.last("slot", ignorenulls=True).over(sweep)).where("asks = 1").select("key", "row", "slot")
+
+
 def judge(pages: DataFrame, rules: DataFrame, default: str = "allow", key: str = "page_id") -> DataFrame:
     """One row for each page: page_id, host, path, rule, verdict."""
-    spark = pages.sparkSession
+    buckets = int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    owned = rules.where("host <> ''").select(F.translate("host", UPPER, LOWER).alias("host"), F.coalesce("path", F.lit("")).alias("path"), "verdict")
+    first = F.min(F.struct(F.when(F.col("verdict") == "block", 0).otherwise(1).alias("a"), "verdict"))
+    owned = scratch.materialize(owned.groupBy("host", "path").agg(first.alias("b")).select("host", "path", F.col("b.verdict").alias("verdict")), "rules")
+
     host, path = split_url(F.col("url"))
-    rows = pages.select(F.col(key).alias("page_id"), host.alias("host"), path.alias("path"))
-    # Behind the host's key a hash that parts equal hosts; it sorts below every label.
-    rows = rows.withColumn("key", F.concat(host_key(F.col("host")), F.lit("\x01"), F.lpad(F.hex(F.xxhash64("page_id", "path")), 16, "0")))
-    cuts = _cuts(rows.select("key"), int(spark.conf.get("spark.sql.shuffle.partitions")))
-
-    owner = rules.where("host <> ''").select(F.translate("host", UPPER, LOWER).alias("host"), F.coalesce("path", F.lit("")).alias("path"), "verdict")
-    length = F.length(F.concat("host", "path"))
-    order = F.struct((-length).alias("a"), (-F.length("host")).alias("b"), F.when(F.col("verdict") == "block", 0).otherwise(1).alias("c"), F.concat("host", "path").alias("rule"), F.col("path").alias("path"), F.col("verdict").alias("verdict"))
-    slots = owner.groupBy("host").agg(F.array_sort(F.collect_set(order)).alias("rules"))
-    slots = slots.withColumn("key", host_key(F.col("host"))).withColumn("depth", F.size(F.split("host", r"\.")))
-    slots = slots.withColumn("end", F.concat(F.expr("substr(key, 1, length(key) - 1)"), F.lit("/")))
-    slots = scratch.materialize(slots.select("key", "end", "depth", "rules"), "rules")
-    deepest = min(DEEPEST, slots.agg(F.max("depth")).first()[0] or 0)
-    # The last key of a rule lies below its end; every bucket from the first to the last gets a copy.
-    spans = F.sequence(_bucket(F.col("key"), cuts), _bucket(F.col("end"), cuts))
-    opened = slots.where(F.col("depth") <= deepest).select(F.explode(spans).alias("bucket"), "key", F.lit(0).alias("row"), F.lit(None).cast(rows.schema["page_id"].dataType).alias("page_id"), F.lit(None).cast("string").alias("host"), F.lit(None).cast("string").alias("path"), "depth", F.struct("end", "rules").alias("slot"))
-    asked = rows.select(_bucket(F.col("key"), cuts).alias("bucket"), "key", F.lit(1).alias("row"), "page_id", "host", "path", F.lit(None).cast("int").alias("depth"), F.lit(None).cast(opened.schema["slot"].dataType).alias("slot"))
-    sweep = Window.partitionBy("bucket").orderBy("key", "row").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    stack = [F.last(F.when(F.col("depth") == d, F.col("slot")), ignorenulls=True).over(sweep).alias(f"slot{d}") for d in range(1, deepest + 1)]
-    swept = asked.unionByName(opened).select("row", "page_id", "host", "path", "key", *stack).where("row = 1")
-
-    fits = [F.filter(F.when(F.col(f"slot{d}.end") > F.col("key"), F.col(f"slot{d}.rules")), lambda r: F.startswith(F.col("path"), r["path"])) for d in range(1, deepest + 1)]
-    heads = [F.get(f, 0) for f in fits]
-    best = F.array_min(F.array_compact(F.array(*heads))) if heads else F.lit(None).cast("struct<rule:string,verdict:string>")
-    return swept.withColumn("best", best).select("page_id", "host", "path", F.col("best.rule").alias("rule"), F.coalesce("best.verdict", F.lit(default)).alias("verdict"))
+    rows = pages.select(F.monotonically_increasing_id().alias("at"), F.col(key).alias("page_id"), host.alias("host"), path.alias("path"))
+    rows = rows.select(F.concat(host_key(F.col("host")), _spread("at")).alias("key"), F.struct("at", "page_id", "host", "path").alias("row"))
+    under = _swept(rows, _host_stacks(owned), buckets)
+    under = scratch.materialize(under.select("row", F.filter(F.coalesce("slot", F.array().cast(under.schema["slot"].dataType)), lambda h: F.startswith(F.col("key"), h["key"])).alias("hosts")), "hosts")
+
+    each = under.where("size(hosts) > 0").select("row", F.size("hosts").alias("n"), F.explode("hosts").alias("of"))
+    each = each.select(F.concat(F.col("of.key"), F.lit(_MARK), F.col("row.path"), _spread("row.at")).alias("key"), F.struct("row", "n", F.col("of.host").alias("of")).alias("row"))
+    found = _swept(each, _path_stacks(owned), buckets)
+    # In front of a host's first rule the last start is one of another host.
+    fit = F.get(F.filter("slot", lambda r: (r["host"] == F.col("row.of")) & F.startswith(F.col("row.row.path"), r["path"])), 0)
+    rank = F.struct(F.length(F.concat(F.col("row.of"), fit["path"])).alias("a"), F.length("row.of").alias("b"), F.concat("row.of", fit["path"]).alias("rule"), fit["verdict"].alias("verdict"))
+    found = found.select(F.col("row.row").alias("row"), F.col("row.n").alias("n"), F.when(fit.isNotNull(), rank).alias("best"))
+    found = scratch.materialize(found, "found")
+    one = found.where("n = 1").select("row", "best")
+    more = found.where("n > 1").groupBy("row").agg(F.max("best").alias("best"))
+    none = under.where("size(hosts) = 0").select("row", F.lit(None).cast(found.schema["best"].dataType).alias("best"))
+    return none.unionByName(one).unionByName(more).select("row.page_id", "row.host", "row.path", F.col("best.rule").alias("rule"), F.coalesce("best.verdict", F.lit(default)).alias("verdict"))
