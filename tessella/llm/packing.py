@@ -212,15 +212,16 @@ def _sweep(state: DataFrame, least: int, capacity: int) -> DataFrame:
     return waiting.unionByName(done).unionByName(left)
 
 
-def _needs(state: DataFrame, least: int, capacity: int):
-    """One row: whether pieces longer than least are left, the shortest one, and the sequences to open for those that no gap holds."""
-    piece = (F.col("kind") == "piece") & (F.col("size") > least)
-    top = F.coalesce(F.max(F.when(F.col("kind") == "gap", F.col("size"))).over(Window.partitionBy()), F.lit(0))
-    rows = state.withColumn("top", top).where(piece)
-    homeless = F.when(F.col("size") > F.col("top"), F.col("n")).otherwise(0)
-    need = [F.ceil(F.sum(homeless * F.col("size")) / capacity)]
-    need += [F.ceil(F.sum(F.when(F.col("size") * k > capacity, homeless).otherwise(0)) / (k - 1)) for k in range(2, _SHARES)]
-    return rows.agg(F.count(F.lit(1)).alias("left"), F.min("size").alias("shortest"), F.greatest(*need).cast("long").alias("open")).first()
+def _needs(state: DataFrame, least: int, capacity: int) -> tuple[int, int, int]:
+    """How many pieces longer than least are left, the shortest length among them, and the sequences to open for those that no gap holds."""
+    runs = state.where("kind <> 'place'").groupBy("kind", "size").agg(F.sum("n").alias("n")).collect()  # one row for each length and each gap's size
+    top = max((r["size"] for r in runs if r["kind"] == "gap"), default=0)
+    left = [(r["size"], r["n"]) for r in runs if r["kind"] == "piece" and r["size"] > least]
+    homeless = [(size, n) for size, n in left if size > top]
+    need = [-(-sum(size * n for size, n in homeless) // capacity)]
+    # Of pieces longer than the k-th part of the capacity a sequence holds k - 1.
+    need += [-(-sum(n for size, n in homeless if size * k > capacity) // (k - 1)) for k in range(2, _SHARES)]
+    return sum(n for _, n in left), min((size for size, _ in left), default=0), max(need)
 
 
 def rounds(lengths: DataFrame, capacity: int) -> DataFrame:
@@ -233,17 +234,17 @@ def rounds(lengths: DataFrame, capacity: int) -> DataFrame:
     state = scratch.materialize(lengths.select(_run("piece", size=F.col("length"), first=F.lit(0), n=F.col("n"))), "lengths")
     sequences, least, turn, places = 0, capacity // 2, 0, [state.where("kind = 'place'")]
     while True:
-        needs = _needs(state, least, capacity)
-        if least and (not needs["left"] or turn == LONG_ROUNDS):
+        left, shortest, fresh = _needs(state, least, capacity)
+        if least and (not left or turn == LONG_ROUNDS):
             least = 0
-            needs = _needs(state, least, capacity)
-        if not needs["left"]:
+            left, shortest, fresh = _needs(state, least, capacity)
+        if not left:
             break
         # Gaps that no piece fits any more are finished.
-        now = state.where((F.col("kind") == "piece") | (F.col("kind") == "gap") & (F.col("size") >= (1 if least else needs["shortest"])))
-        if needs["open"]:
-            now = now.unionByName(spark.range(1).select(_run("gap", size=F.lit(capacity), first=F.lit(sequences), n=F.lit(needs["open"]))))
-            sequences += needs["open"]
+        now = state.where((F.col("kind") == "piece") | (F.col("kind") == "gap") & (F.col("size") >= (1 if least else shortest)))
+        if fresh:
+            now = now.unionByName(spark.range(1, numPartitions=1).select(_run("gap", size=F.lit(capacity), first=F.lit(sequences), n=F.lit(fresh))))
+            sequences += fresh
         state = scratch.materialize(_sweep(now, least, capacity).coalesce(1), "round")
         places.append(state.where("kind = 'place'"))
         turn += 1
