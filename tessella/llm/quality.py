@@ -13,8 +13,11 @@ The network is fitted on a bounded sample, SAMPLE rows of either kind
 
 Defined results: a null or empty text has features of 0 and gets their score;
 without any positive every score is 0.5 times the share of text that is
-letters; rows are independent, so repeated rows and a null doc_id are fine;
-other columns are not read.
+letters; texts are read whole, however long; a score of exactly 0.5 is
+predicted 1; a doc_id that is labelled more than once is positive if any of its
+labels is 1; rows are independent, so repeated rows and a null doc_id are fine;
+an empty table gives an empty result; other columns are not read and cannot
+clash.
 """
 
 from __future__ import annotations
@@ -31,8 +34,6 @@ from tessella.llm.textkit import texts_words, utf8, words
 
 SAMPLE = 12_000
 HIDDEN, EPOCHS, BATCH, RATE, DECAY = 24, 40, 512, 3e-3, 1e-4
-#: Bytes of a text whose statistics are taken together.
-WINDOW = 1 << 12
 _BINS = 129  # ASCII characters, and all others
 
 

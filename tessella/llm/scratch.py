@@ -7,6 +7,7 @@ of an executor.
 
 from __future__ import annotations
 
+import contextlib
 import ctypes
 import gc
 import tempfile
@@ -61,10 +62,35 @@ def root(spark: SparkSession) -> str:
     return f"{found.rstrip('/')}/tessella-{sc.applicationId}"
 
 
-def materialize(df: DataFrame, tag: str) -> DataFrame:
+#: The folders, one in the other, in which tables are written now.
+_scopes: list[str] = []
+
+
+@contextlib.contextmanager
+def scope() -> Iterator[str]:
+    """Tables written inside lie in a folder of their own, which ``discard`` deletes when results that read them are written."""
+    name = f"work-{uuid.uuid4().hex}"
+    _scopes.append(name)
+    try:
+        yield name
+    finally:
+        _scopes.remove(name)
+
+
+def discard(spark: SparkSession, name: str) -> None:
+    """Delete the tables of a scope, or one table."""
+    _delete(spark, f"{root(spark)}/{name}")
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def materialize(df: DataFrame, tag: str, name: str | None = None) -> DataFrame:
     """df written once as Parquet in the shared folder and read back; later readers recompute nothing."""
     spark = df.sparkSession
-    path = f"{root(spark)}/{tag}-{uuid.uuid4().hex}"
+    path = "/".join([root(spark), *_scopes, name or f"{tag}-{uuid.uuid4().hex}"])
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -88,8 +114,7 @@ def by_row(docs: DataFrame, stage: Callable[[DataFrame], DataFrame], nulls_first
 
 def release(spark: SparkSession) -> None:
     """Delete this application's scratch tables; results that still read them become invalid."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(root(spark))
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    _delete(spark, root(spark))
 
 
 def _slot(key: str):
