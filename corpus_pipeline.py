@@ -6,10 +6,20 @@ Rows are dropped by the operators' own decisions: documents scored below 0.5,
 all but the largest doc_id of equal texts, all but the smallest doc_id of a
 group of near duplicates (five-word shingles, similarity of 0.8 or more), and
 documents that hold a benchmark passage.
+
+Defined results of every stage: an empty table gives an empty one; texts are
+read whole, however long; a null text counts as empty, and empty texts are
+equal to one another, near duplicates of none and hold no passage; decisions
+hold for single rows, also where ids are null or repeated, and of equal rows
+one stays after exact de-duplication; all other columns, whatever their names,
+are passed on. Ties go by doc_id as said above; without ids, or where they are
+equal, by the digest of the text.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 from tessella.llm import decontamination, exact_dedup, near_dedup, packing, quality, scratch
@@ -52,10 +62,22 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages over ``documents``, each result written before the next stage reads it."""
+    """The stages over ``documents``, each result written before the next stage reads it.
+
+    What a stage has written besides goes when its result is there, and so does
+    the result before it; the last stage's tables stay until ``scratch.release``.
+    """
     docs = _table(spark, sf_dir, "documents")
+    before = None
     for i, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if i < len(STAGES) - 1:
-            docs = scratch.materialize(docs, name)
+        with scratch.scope() as work:
+            docs = stage(spark, docs, sf_dir)
+        if i == len(STAGES) - 1:
+            break
+        table = f"{name}-{uuid.uuid4().hex}"
+        docs = scratch.materialize(docs, name, table)
+        scratch.discard(spark, work)
+        if before:
+            scratch.discard(spark, before)
+        before = table
     return docs
