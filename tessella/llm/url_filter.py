@@ -131,15 +131,15 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = "allow", key: str =
     under = _swept(rows, _host_stacks(owned), buckets)
     under = scratch.materialize(under.select("row", F.filter(F.coalesce("slot", F.array().cast(under.schema["slot"].dataType)), lambda h: F.startswith(F.col("key"), h["key"])).alias("hosts")), "hosts")
 
-    each = under.where("size(hosts) > 0").select("row", F.size("hosts").alias("n"), F.explode("hosts").alias("of"))
-    each = each.select(F.concat(F.col("of.key"), F.lit(_MARK), F.col("row.path"), _spread("row.at")).alias("key"), F.struct("row", "n", F.col("of.host").alias("of")).alias("row"))
-    found = _swept(each, _path_stacks(owned), buckets)
+    each = under.where("size(hosts) > 0").select(F.col("row").alias("page"), F.size("hosts").alias("n"), F.explode("hosts").alias("of"))
+    each = each.select(F.concat(F.col("of.key"), F.lit(_MARK), F.col("page.path"), _spread("page.at")).alias("key"), F.struct("page", "n", F.col("of.host").alias("of")).alias("row"))
+    found = _swept(each, _path_stacks(owned), buckets).select("row.page", "row.n", "row.of", "slot")
     # In front of a host's first rule the last start is one of another host.
-    fit = F.get(F.filter("slot", lambda r: (r["host"] == F.col("row.of")) & F.startswith(F.col("row.row.path"), r["path"])), 0)
-    rank = F.struct(F.length(F.concat(F.col("row.of"), fit["path"])).alias("a"), F.length("row.of").alias("b"), F.concat("row.of", fit["path"]).alias("rule"), fit["verdict"].alias("verdict"))
-    found = found.select(F.col("row.row").alias("row"), F.col("row.n").alias("n"), F.when(fit.isNotNull(), rank).alias("best"))
-    found = scratch.materialize(found, "found")
-    one = found.where("n = 1").select("row", "best")
-    more = found.where("n > 1").groupBy("row").agg(F.max("best").alias("best"))
-    none = under.where("size(hosts) = 0").select("row", F.lit(None).cast(found.schema["best"].dataType).alias("best"))
-    return none.unionByName(one).unionByName(more).select("row.page_id", "row.host", "row.path", F.col("best.rule").alias("rule"), F.coalesce("best.verdict", F.lit(default)).alias("verdict"))
+    found = found.withColumn("fit", F.get(F.filter("slot", lambda r: (r["host"] == F.col("of")) & F.startswith(F.col("page.path"), r["path"])), 0))
+    rule = F.concat("of", "fit.path")
+    rank = F.struct(F.length(rule).alias("a"), F.length("of").alias("b"), rule.alias("rule"), F.col("fit.verdict").alias("verdict"))
+    found = scratch.materialize(found.select("page", "n", F.when(F.col("fit").isNotNull(), rank).alias("best")), "found")
+    one = found.where("n = 1").select("page", "best")
+    more = found.where("n > 1").groupBy("page").agg(F.max("best").alias("best"))
+    none = under.where("size(hosts) = 0").select(F.col("row").alias("page"), F.lit(None).cast(found.schema["best"].dataType).alias("best"))
+    return none.unionByName(one).unionByName(more).select("page.page_id", "page.host", "page.path", F.col("best.rule").alias("rule"), F.coalesce("best.verdict", F.lit(default)).alias("verdict"))
