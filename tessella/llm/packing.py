@@ -167,10 +167,11 @@ def _run(kind: str, **columns: Column) -> list[Column]:
 def _sweep(state: DataFrame, least: int, capacity: int) -> DataFrame:
     """One round over runs of gaps and pieces: pieces longer than least meet their successors."""
     eligible = (F.col("kind") == "gap") | (F.col("size") > least)
+    # The runs are so few that one task sorts and sweeps them, without a shuffle between its steps.
+    state = state.coalesce(1)
     waiting = state.where(~eligible).select(_NAMES)
     gap = F.col("kind") == "gap"
     down = [F.desc("size"), F.asc("kind"), F.asc("first")]
-    # The runs are so few that one task sorts them.
     sort = Window.orderBy(*down).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     room, top = F.sum(F.when(gap, F.col("n")).otherwise(0)).over(sort), F.max(F.when(gap, F.col("size"))).over(Window.partitionBy())
     seen = state.where(eligible).select("kind", "size", "first", "n", room.alias("room"), top.alias("top"))
@@ -214,7 +215,7 @@ def _sweep(state: DataFrame, least: int, capacity: int) -> DataFrame:
 
 def _needs(state: DataFrame, least: int, capacity: int) -> tuple[int, int, int]:
     """How many pieces longer than least are left, the shortest length among them, and the sequences to open for those that no gap holds."""
-    runs = state.where("kind <> 'place'").groupBy("kind", "size").agg(F.sum("n").alias("n")).collect()  # one row for each length and each gap's size
+    runs = state.where("kind <> 'place'").coalesce(1).groupBy("kind", "size").agg(F.sum("n").alias("n")).collect()  # one row for each length and each gap's size
     top = max((r["size"] for r in runs if r["kind"] == "gap"), default=0)
     left = [(r["size"], r["n"]) for r in runs if r["kind"] == "piece" and r["size"] > least]
     homeless = [(size, n) for size, n in left if size > top]

@@ -239,11 +239,9 @@ def gapless(rows, capacity):
 
 LENGTHS = {
     "mixed": lambda rng: np.clip(rng.lognormal(6, 1.1, 6000).astype(int), 1, 2048),
-    "uniform": lambda rng: rng.integers(1, 2049, 4000),
     "mostly empty": lambda rng: np.concatenate((np.ones(5000, int), rng.integers(200, 2049, 800))),
     "one length": lambda rng: np.full(1500, 700),
     "third hot": lambda rng: np.concatenate((np.full(1500, 53), rng.integers(20, 1500, 3000))),
-    "full": lambda rng: np.full(40, 2048),
     "few": lambda rng: np.array([1, 2, 3, 2047, 1025, 1023]),
 }
 
