@@ -249,9 +249,9 @@ class Graph:
 class Frontend:
     """Keyframes as they come: a start with warmup frames, then a window of recent ones for each new keyframe."""
 
-    def __init__(self, graph: Graph, warmup: int = 8, window: int = 25, radius: int = 2, nms: int = 1, limit: float = 16.0, beta: float = 0.3, keyframe_limit: float = 4.0, max_age: int = 25, turns: tuple[int, int, int] = (8, 4, 2), known_poses: bool = False):
+    def __init__(self, graph: Graph, warmup: int = 8, window: int = 25, radius: int = 2, nms: int = 1, limit: float = 16.0, beta: float = 0.3, keyframe_limit: float = 4.0, max_age: int = 25, turns: tuple[int, int, int] = (8, 4, 2), iterations: int = 3, known_poses: bool = False):
         self.graph, self.warmup, self.window, self.radius, self.nms, self.limit, self.beta = graph, warmup, window, radius, nms, limit, beta
-        self.keyframe_limit, self.max_age, self.turns, self.known_poses = keyframe_limit, max_age, turns, known_poses
+        self.keyframe_limit, self.max_age, self.turns, self.iterations, self.known_poses = keyframe_limit, max_age, turns, iterations, known_poses
         self.started, self.done = False, 0  # keyframes that have been through an update
 
     def append(self, pose, pixels: DataFrame) -> bool:
@@ -279,10 +279,10 @@ class Frontend:
         g = self.graph
         g.neighbours(0, g.frames, 3)
         for _ in range(self.turns[0]):
-            g.update(1, use_inactive=True, fixed_motion=self.known_poses)
+            g.update(1, iterations=self.iterations, use_inactive=True, fixed_motion=self.known_poses)
         g.proximity(radius=2, nms=2, limit=self.limit)
         for _ in range(self.turns[0]):
-            g.update(1, use_inactive=True, fixed_motion=self.known_poses)
+            g.update(1, iterations=self.iterations, use_inactive=True, fixed_motion=self.known_poses)
         self.started, self.done = True, g.frames
         g.remove({e for e in g.edges if e[0] < self.warmup - 4}, store=True)
 
@@ -292,13 +292,13 @@ class Frontend:
         g.remove({e for e in g.edges if g.age[e] > self.max_age}, store=True)
         g.proximity(newest - 4, newest + 1 - self.window, self.radius, self.nms, self.beta, self.limit, evict=True)
         for _ in range(self.turns[1]):
-            g.update(use_inactive=True, fixed_motion=self.known_poses)
+            g.update(iterations=self.iterations, use_inactive=True, fixed_motion=self.known_poses)
         pair = self.graph.spark.createDataFrame([(newest - 2, newest - 1), (newest - 1, newest - 2)], "i long, j long")
         ways = [r["d"] for r in frame_distances(g.pixels, pair, bundle._poses(g.spark, g.poses), g.k, self.beta).collect()]
         new = not ways or float(np.mean(ways)) >= self.keyframe_limit
         if new:
             for _ in range(self.turns[2]):
-                g.update(use_inactive=True, fixed_motion=self.known_poses)
+                g.update(iterations=self.iterations, use_inactive=True, fixed_motion=self.known_poses)
         else:
             g.drop_keyframe(newest - 1)
         self.done = g.frames

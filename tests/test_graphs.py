@@ -144,7 +144,7 @@ def test_backend_and_infill(spark, scene):
 def test_frontend(spark, scene):
     pixels, truth, k = scene
     g = graph.Graph(pixels.where("frame_idx < 3"), {f: truth[f] for f in range(3)}, k, oracle_network(pixels, truth, k), most=12)
-    front = graph.Frontend(g, warmup=4, keyframe_limit=0.0, turns=(1, 1, 1))
+    front = graph.Frontend(g, warmup=4, keyframe_limit=0.0, turns=(1, 1, 1), iterations=1)
     assert front.append(None, pixels.where("frame_idx = 3").drop("frame_idx")) and front.started and g.frames == 4
     assert front.append(None, pixels.where("frame_idx = 4").drop("frame_idx")) and g.frames == 5 and off(g.poses, truth) < 0.05
     # A frame close to the one before it takes its place.
