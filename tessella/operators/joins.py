@@ -219,21 +219,24 @@ def cell_width(points: DataFrame, keys: list[str], axes: list[str], k: int, wide
 def knn(queries: DataFrame, points: DataFrame, keys: list[str], axes: list[str], k: int, cell: float | None, query_id: str, point_id: str) -> DataFrame:
     """The k nearest points (squared distance) of each query, exactly, up to three axes.
 
-    Both sides meet in cells of a grid and in the cells around; a query whose
-    k-th neighbour there may lie beyond them is asked again with cells four times
-    as wide, until all have their neighbours or the keys hold too few points.
-    Without a cell the first width is chosen so that even the fullest cell holds
-    few points, so crowds are settled among near points and only far queries
-    ask again. Ties go to the smaller point id.
+    Both sides meet in cells of a grid and in the cells around. Only pairs within
+    a cell's width are kept, so a query with k of them has its neighbours; the
+    others are asked again with cells four times as wide, until all have their
+    neighbours or the keys hold too few points. The first width is the cell, or
+    half of the extent without one, halved until even the fullest cell holds few
+    places, so crowds are settled among near points and only far queries ask
+    again. Of points on one place the k smallest ids are read. Ties go to the
+    smaller point id; rows without a place have no neighbours and are none.
     """
     dist = lambda: sum(((F.col(f"q_{a}") - F.col(f"p_{a}")) * (F.col(f"q_{a}") - F.col(f"p_{a}")) for a in axes[1:]), (F.col(f"q_{axes[0]}") - F.col(f"p_{axes[0]}")) * (F.col(f"q_{axes[0]}") - F.col(f"p_{axes[0]}")))
-    q = queries.select(*keys, F.col(query_id), *[F.col(a).alias(f"q_{a}") for a in axes])
-    p = points.select(*keys, F.col(point_id), *[F.col(a).alias(f"p_{a}") for a in axes])
+    q = queries.dropna(subset=axes).select(*keys, F.col(query_id), *[F.col(a).alias(f"q_{a}") for a in axes])
+    p = points.dropna(subset=axes).select(*keys, F.col(point_id), *[F.col(a).alias(f"p_{a}") for a in axes])
+    place = Window.partitionBy(*keys, *[f"p_{a}" for a in axes]).orderBy(point_id)
+    p = cut(p.withColumn("_n", F.row_number().over(place)).where(F.col("_n") <= k).drop("_n"))
     bounds = p.agg(*[F.max(f"p_{a}").alias(f"hi_{a}") for a in axes], *[F.min(f"p_{a}").alias(f"lo_{a}") for a in axes]).first()
     qb = q.agg(*[F.max(f"q_{a}").alias(f"hi_{a}") for a in axes], *[F.min(f"q_{a}").alias(f"lo_{a}") for a in axes]).first()
     widest = max([1e-12] + [max(bounds[f"hi_{a}"], qb[f"hi_{a}"]) - min(bounds[f"lo_{a}"], qb[f"lo_{a}"]) for a in axes if bounds[f"hi_{a}"] is not None and qb[f"hi_{a}"] is not None])
-    if cell is None:
-        cell = cell_width(p, keys, axes, k, widest)
+    cell = cell_width(p, keys, axes, k, widest if cell is None else 2 * cell)
     done = None
     while True:
         grid = [F.floor(F.col(f"p_{a}") / cell).alias(f"c_{a}") for a in axes]
@@ -241,25 +244,22 @@ def knn(queries: DataFrame, points: DataFrame, keys: list[str], axes: list[str],
         for a in axes:
             base = F.floor(F.col(f"q_{a}") / cell)
             near = near.withColumn(f"c_{a}", F.explode(F.sequence(base - 1, base + 1)))
-        pairs = near.join(p.select("*", *grid), [*keys, *[f"c_{a}" for a in axes]]).withColumn("d2", dist())
-        w = Window.partitionBy(*keys, query_id).orderBy("d2", point_id)
-        ranked = pairs.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+        pairs = near.join(p.select("*", *grid), [*keys, *[f"c_{a}" for a in axes]]).select(*keys, query_id, point_id, dist().alias("d2"))
+        if cell <= widest:
+            # A hair less than the width, for places that rounding moves across a border.
+            pairs = pairs.where(F.col("d2") <= (cell * (1 - 1e-6)) ** 2)
+        own = Window.partitionBy(*keys, query_id)
+        ranked = pairs.withColumn("rank", F.row_number().over(own.orderBy("d2", point_id))).where(F.col("rank") <= k)
         if cell > widest:
-            final = ranked
-            left = None
-        else:
-            worst = ranked.groupBy(*keys, query_id).agg(F.count(F.lit(1)).alias("_n"), F.max("d2").alias("_far"))
-            sure = worst.where((F.col("_n") == k) & (F.col("_far") <= cell * cell)).select(*keys, query_id)
-            final = ranked.join(sure, [*keys, query_id], "left_semi")
-            left = q.join(sure, [*keys, query_id], "left_anti")
-        final = final.select(*keys, query_id, point_id, "d2", "rank")
+            return ranked if done is None else done.unionByName(ranked)
+        # Computed once, at most k rows for each query.
+        ranked = cut(ranked.withColumn("_n", F.count(F.lit(1)).over(own)))
+        final = ranked.where(F.col("_n") == k).drop("_n")
         done = final if done is None else done.unionByName(final)
-        if left is None:
+        q = cut(q.join(final.select(*keys, query_id), [*keys, query_id], "left_anti"))
+        if q.isEmpty():
             return done
-        left = cut(left)
-        if not left.limit(1).count():
-            return done
-        q, cell = left, cell * 4
+        cell *= 4
 
 
 def knn_affine_fill(neighbours: DataFrame, keys: list[str], x: str, y: str, d2: str) -> DataFrame:

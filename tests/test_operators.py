@@ -175,6 +175,51 @@ def test_knn_far_queries(spark):
     assert [got[0, k] for k in (1, 2, 3)] == [0, 1, 2] and [got[1, k] for k in (1, 2, 3)] == [7, 8, 6]
 
 
+def _joined(plan):
+    """Rows that the joins of an executed plan have put out."""
+    name = plan.getClass().getSimpleName()
+    if name == "AdaptiveSparkPlanExec":
+        return _joined(plan.executedPlan())
+    below = [plan.plan()] if name.endswith("QueryStageExec") else [plan.children().apply(i) for i in range(plan.children().size())]
+    own = plan.metrics().get("numOutputRows").get().value() if "JoinExec" in name else 0
+    return own + sum(map(_joined, below))
+
+
+def test_knn_of_a_full_cell(spark, monkeypatch):
+    """A given cell that holds nearly all points: few pairs a query leave the joins, and all neighbours are found."""
+    rows, kept = [], joins.cut
+
+    def cut(df):
+        out = kept(df)
+        rows.append(_joined(df._jdf.queryExecution().executedPlan()))
+        return out
+
+    monkeypatch.setattr(joins, "cut", cut)
+    rng = np.random.default_rng(3)
+    p, q = np.concatenate((rng.uniform(0.1, 0.9, (4000, 3)), [[3, 3, 3]])), rng.uniform(0.1, 0.9, (1000, 3))
+    points = spark.createDataFrame([(i, *map(float, x)) for i, x in enumerate(p)], "p long, x double, y double, z double")
+    asked = spark.createDataFrame([(i, *map(float, x)) for i, x in enumerate(q)], "q long, x double, y double, z double")
+    got = {(r.q, r["rank"]): r.p for r in joins.knn(asked, points, [], ["x", "y", "z"], 5, 1.0, "q", "p").collect()}
+    d = ((q[:, None] - p[None]) ** 2).sum(-1)
+    assert len(got) == 5000 and all([got[i, r] for r in range(1, 6)] == np.argsort(d[i])[:5].tolist() for i in range(1000))
+    assert sum(rows) < 1000 * 4000 / 4
+
+
+def test_knn_of_copies(spark, monkeypatch):
+    """Points on one place count by their smallest ids, others beside them are found; rows without a place are none."""
+    rows = [(i, 0.5, 0.5) for i in range(900, -1, -1)] + [(1000 + i, 0.5 + i / 100, 0.5) for i in range(1, 4)] + [(2000, None, 0.5)]
+    points = spark.createDataFrame(rows, "p long, x double, y double")
+    asked = spark.createDataFrame([(i, 0.5, 0.5) for i in range(50)] + [(60, 0.53, 0.5), (61, None, 0.0)], "q long, x double, y double")
+    read, width = [], joins.cell_width
+    monkeypatch.setattr(joins, "cell_width", lambda places, *a: read.append(places.count()) or width(places, *a))
+    for cell in (0.25, None):
+        got = {}
+        for r in sorted(joins.knn(asked, points, [], ["x", "y"], 5, cell, "q", "p").collect(), key=lambda r: (r.q, r["rank"])):
+            got.setdefault(r.q, []).append(r.p)
+        assert got == {**{i: [0, 1, 2, 3, 4] for i in range(50)}, 60: [1003, 1002, 1001, 0, 1]}
+    assert read == [8, 8]
+
+
 def test_same_edges_of_one_batch(spark):
     e = spark.createDataFrame([(1, 2), (1, 2), (3, 4)], "i long, j long")
     assert joins.new_edges(e, e.where("i = 3")).count() == 1
