@@ -205,6 +205,34 @@ def test_knn_of_a_full_cell(spark, monkeypatch):
     assert sum(rows) < 1000 * 4000 / 4
 
 
+@pytest.mark.parametrize("name", ["knn_affine_fill"])
+def test_fills_of_a_full_cell(spark, monkeypatch, tmp_path, name):
+    """The registered fills over vectors that lie in few cells of the given width: the SQL's rows from few pairs a query."""
+    import duckdb
+    import pandas as pd
+
+    from tessella import catalogue
+
+    rows, kept = [], joins.cut
+
+    def cut(df):
+        out = kept(df)
+        rows.append(_joined(df._jdf.queryExecution().executedPlan()))
+        return out
+
+    monkeypatch.setattr(joins, "cut", cut)
+    rng = np.random.default_rng(4)
+    e = np.concatenate((rng.normal(0, 0.05, (2000, 4)), [[2, 2, 2, 2]])).astype(np.float32)
+    pd.DataFrame({"vec_id": np.arange(len(e)), "label": np.arange(len(e)) % 10, "embedding": list(e)}).to_parquet(tmp_path / "embeddings.parquet")
+    con = duckdb.connect()
+    con.sql(f"create view embeddings as select * from '{tmp_path}/embeddings.parquet'")
+    want = con.sql(catalogue.oracle_sql()[name]).df().sort_values("query_id").to_numpy()
+    got = catalogue.queries()[name](spark, str(tmp_path)).toPandas().sort_values("query_id").to_numpy()
+    # Sums in another order may round otherwise.
+    assert got.shape == want.shape and np.allclose(got, want, rtol=1e-6, atol=2e-5)
+    assert 0 < sum(rows) < 600 * 1400 / 4
+
+
 def test_knn_of_copies(spark, monkeypatch):
     """Points on one place count by their smallest ids, others beside them are found; rows without a place are none."""
     rows = [(i, 0.5, 0.5) for i in range(900, -1, -1)] + [(1000 + i, 0.5 + i / 100, 0.5) for i in range(1, 4)] + [(2000, None, 0.5)]
