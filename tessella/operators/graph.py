@@ -16,7 +16,7 @@ from collections.abc import Callable, Iterable
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessella.functions.camera import Pinhole
@@ -74,30 +74,66 @@ def choose_edges(distances: np.ndarray, known: Iterable[tuple[int, int]], first:
     return edges
 
 
-def proximity_edges(distances: DataFrame, known: DataFrame, stream: str, first: int = 0, back: int = 0, radius: int = 2, nms: int = 2, limit: float = 16.0, most: int = 48, cross_view: bool = False) -> DataFrame:
+def filled(frames: Column, most: int, first: int = 0, radius: int = 2, cross_view: bool = False) -> Column:
+    """Whether the edges between neighbours of so many frames are more than most, so that ``choose_edges`` takes none by distance."""
+    reach = max(radius + 1, 0)
+    n = F.greatest(frames.cast("long"), F.lit(first).cast("long"))
+    # Frames before the reach see one another, later ones as many as the reach.
+    upto = F.least(n, F.lit(reach)) * (F.least(n, F.lit(reach)) - 1) / 2 + F.greatest(n - reach, F.lit(0)) * reach
+    before = min(first, reach) * (min(first, reach) - 1) // 2 + max(first - reach, 0) * reach
+    return (upto - before) * 2 + (n - first) * int(cross_view) > most
+
+
+def _neighbours(sizes: DataFrame, stream: str, first: int, radius: int, cross_view: bool) -> DataFrame:
+    """stream, i, j and _at (their order) of the edges between neighbours of graphs (stream, frames)."""
+    reach = max(radius + 1, 0)
+    a, none = F.col("_a"), F.expr("cast(array() as array<struct<i: bigint, j: bigint>>)")
+    edge = lambda i, j: F.struct(i.alias("i"), j.alias("j"))
+    back = F.transform(F.sequence(F.greatest(a - reach, F.lit(0)), a - 1), lambda b: F.array(edge(a, b), edge(b, a)))
+    edges = F.concat(F.array(edge(a, a)) if cross_view else none, F.when((a > 0) & F.lit(reach > 0), F.flatten(back)).otherwise(none))
+    frames = sizes.where(F.col("frames") > first).select(stream, F.explode(F.sequence(F.lit(first).cast("long"), F.col("frames") - 1)).alias("_a"))
+    return frames.select(stream, "_a", F.posexplode(edges).alias("_k", "_e")).select(stream, "_e.i", "_e.j", F.struct("_a", "_k").alias("_at"))
+
+
+def proximity_edges(distances: DataFrame, known: DataFrame, stream: str, first: int = 0, back: int = 0, radius: int = 2, nms: int = 2, limit: float = 16.0, most: int = 48, cross_view: bool = False, sizes: DataFrame | None = None) -> DataFrame:
     """``choose_edges`` for every stream of distances (stream, i, j, d): stream, n (the order), i, j without those of known (stream, i, j).
 
-    The unit of work is one graph, at most CAPACITY frames.
+    sizes (stream, frames) has the graphs' numbers of frames, by default as many
+    as distances shows. Where the edges between neighbours are more than most
+    (``filled``), none is chosen by distance: they are listed whatever the
+    graph's size, and its distances are not read, so they may be left out. Of
+    the others the unit of work is one graph, at most CAPACITY frames.
     """
     kind = dict(distances.dtypes)[stream]
+    if sizes is None:
+        sizes = distances.groupBy(stream).agg((F.max(F.greatest("i", "j")) + 1).alias("frames"))
+    sizes = sizes.select(stream, F.col("frames").cast("long").alias("frames"))
+    full = filled(F.col("frames"), most, first, radius, cross_view)
 
     def run(frame: pd.DataFrame, have: pd.DataFrame) -> pd.DataFrame:
-        if not len(frame):
-            return pd.DataFrame({stream: [], "n": [], "i": [], "j": []})
-        frames = int(max(frame.i.max(), frame.j.max())) + 1
+        frames = int(have._frames.max())
         if frames > bundle.CAPACITY:
             raise ValueError(f"a graph has at most {bundle.CAPACITY} frames")
         d = np.full((max(frames - first, 0), max(frames - back, 0)), np.inf)
         own = frame[(frame.i >= first) & (frame.j >= back)]
         d[own.i.to_numpy() - first, own.j.to_numpy() - back] = own.d.to_numpy()
-        held = list(zip(have._i.tolist(), have._j.tolist(), strict=True))
+        old = have[have._frames < 0]
+        held = list(zip(old._i.tolist(), old._j.tolist(), strict=True))
         got = list(dict.fromkeys(choose_edges(d, held, first, back, radius, nms, limit, most, cross_view)))
         fresh = [e for e in got if e not in set(held)]
-        return pd.DataFrame({stream: [frame[stream].iloc[0]] * len(fresh), "n": range(len(fresh)), "i": [e[0] for e in fresh], "j": [e[1] for e in fresh]})
-
-    other = known.select(F.col(stream).alias("_stream"), F.col("i").alias("_i"), F.col("j").alias("_j"))
-    groups = distances.select(stream, "i", "j", "d").groupBy(stream).cogroup(other.groupBy("_stream"))
-    return groups.applyInPandas(run, f"`{stream}` {kind}, n int, i long, j long")
+        return pd.DataFrame({stream: [have._stream.iloc[0]] * len(fresh), "n": range(len(fresh)), "i": [e[0] for e in fresh], "j": [e[1] for e in fresh]})
+
+    other = known.select(F.col(stream).alias("_stream"), F.col("i").cast("long").alias("_i"), F.col("j").cast("long").alias("_j"))
+    listed = _neighbours(sizes.where(full), stream, first, radius, cross_view)
+    listed = listed.join(other, F.col(stream).eqNullSafe(F.col("_stream")) & (F.col("i") == F.col("_i")) & (F.col("j") == F.col("_j")), "left_anti")
+    order = Window.partitionBy(stream).orderBy("_at")
+    listed = listed.select(stream, (F.row_number().over(order) - 1).alias("n"), "i", "j")
+    # The open graphs: their number of frames comes with the known edges.
+    room = sizes.where(~full).select(F.col(stream).alias("_open"), "frames")
+    among = lambda rows, name: rows.join(room, F.col(name).eqNullSafe(F.col("_open")), "left_semi")
+    with_frames = among(other, "_stream").withColumn("_frames", F.lit(-1).cast("long")).union(room.select("_open", F.lit(0).cast("long"), F.lit(0).cast("long"), "frames"))
+    groups = among(distances.select(stream, "i", "j", "d"), stream).groupBy(stream).cogroup(with_frames.groupBy("_stream"))
+    return listed.unionByName(groups.applyInPandas(run, f"`{stream}` {kind}, n int, i long, j long"))
 
 
 def places(pixels: DataFrame, pairs: DataFrame, poses: DataFrame, k: tuple) -> DataFrame:

@@ -318,11 +318,13 @@ def proximity_edges(spark, d):
     """Edges of a graph for each label: frames are its vectors in order, distances those of their first elements; every seventh pair is known."""
     from tessella.operators import graph
 
-    w = Window.partitionBy("label").orderBy("vec_id")
-    frames = table(spark, d, "embeddings").select("label", (F.row_number().over(w) - 1).cast("long").alias("n"), *[F.col("embedding")[i].cast("double").alias(f"e{i}") for i in range(3)])
-    a, b = (frames.select("label", F.col("n").alias(s), *[F.col(f"e{i}").alias(f"{s}{i}") for i in range(3)]) for s in "ij")
+    most, w = 200, Window.partitionBy("label").orderBy("vec_id")
+    frames = table(spark, d, "embeddings").where("label is not null").select("label", (F.row_number().over(w) - 1).cast("long").alias("n"), *[F.col("embedding")[i].cast("double").alias(f"e{i}") for i in range(3)])
+    sizes = frames.groupBy("label").agg(F.count(F.lit(1)).alias("frames"))
+    known = frames.where("n >= 7 and n % 7 = 0").select("label", F.col("n").alias("i"), (F.col("n") - 7).alias("j"))
+    # All pairs of the graphs that have room for edges by distance: few frames each, as neighbours fill the others.
+    small = frames.join(sizes.where(~graph.filled(F.col("frames"), most)).select("label"), "label")
+    a, b = (small.select("label", F.col("n").alias(s), *[F.col(f"e{i}").alias(f"{s}{i}") for i in range(3)]) for s in "ij")
     way = sum(((F.col(f"i{k}") - F.col(f"j{k}")) * (F.col(f"i{k}") - F.col(f"j{k}")) for k in (1, 2)), (F.col("i0") - F.col("j0")) * (F.col("i0") - F.col("j0")))
-    # All pairs of one graph of bounded size.
     pairs = a.join(b, "label").select("label", "i", "j", (F.sqrt(way) * 4).alias("d"))
-    known = pairs.where("j = i - 7 and i % 7 = 0").select("label", "i", "j")
-    return graph.proximity_edges(pairs, known, "label", most=200, limit=6.0)
+    return graph.proximity_edges(pairs, known, "label", most=most, limit=6.0, sizes=sizes)
