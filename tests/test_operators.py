@@ -205,7 +205,7 @@ def test_knn_of_a_full_cell(spark, monkeypatch):
     assert sum(rows) < 1000 * 4000 / 4
 
 
-@pytest.mark.parametrize("name", ["knn_affine_fill"])
+@pytest.mark.parametrize("name", ["knn_affine_fill", "knn_mean_fill"])
 def test_fills_of_a_full_cell(spark, monkeypatch, tmp_path, name):
     """The registered fills over vectors that lie in few cells of the given width: the SQL's rows from few pairs a query."""
     import duckdb
