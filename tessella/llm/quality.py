@@ -188,7 +188,10 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[Net
     # About SAMPLE ids at most.
     positive = _sampled(rows.join(F.broadcast(trusted), "doc_id", "left_semi"), "trusted", 1 << 40)
     unlabelled = _sampled(rows, "unlabelled", sample)
-    return fit(positive, unlabelled) if len(positive) > 1 and len(unlabelled) > 1 else None
+    model = fit(positive, unlabelled) if len(positive) > 1 and len(unlabelled) > 1 else None
+    del positive, unlabelled
+    scratch.trim()  # the driver outlives its samples
+    return model
 
 
 def _scores(model: tuple[Network, float] | None, column: pa.Array) -> np.ndarray:

@@ -3,6 +3,7 @@ import re
 from collections import defaultdict
 
 import numpy as np
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -186,6 +187,28 @@ def test_odd_sketch_estimates():
         assert z <= near_dedup.sketch_bound(share - 0.05)
 
 
+@pytest.mark.parametrize("one_task", [0, 40, 1 << 19])
+def test_components_in_few_plans(spark, monkeypatch, one_task):
+    """Links that one task holds take two tables, whatever their shape; more are contracted first, with the same result."""
+    written, kept = [], components.scratch.materialize
+    monkeypatch.setattr(components, "ONE_TASK", one_task, raising=False)
+    monkeypatch.setattr(components.scratch, "materialize", lambda df, tag, *a: written.append(tag) or kept(df, tag, *a))
+    rng = np.random.default_rng(1)
+    path = [int(x) for x in rng.permutation(60)]
+    rows = [*zip(path, path[1:], strict=False), *((100, x) for x in range(101, 130)), *((int(x), 200 + i) for i, x in enumerate(rng.integers(150, 200, 30))), (300, 300)]
+    want = {x: x for r in rows[:-1] for x in r}
+    while any(want[a] != want[b] for a, b in rows[:-1]):
+        for a, b in rows[:-1]:
+            want[a] = want[b] = min(want[a], want[b])
+    got = components.components(spark.createDataFrame(rows, "a long, b long")).collect()
+    assert len(got) == len(want) and {r.id: r.component for r in got} == want
+    assert one_task < len(rows) or len(written) == 2
+
+
+def test_components_without_links(spark):
+    assert components.components(spark.createDataFrame([(1, 1)], "a long, b long")).collect() == []
+
+
 def test_components_of_long_path(spark):
     links = spark.range(1, 64).selectExpr("id - 1 as a", "id as b")
     got = {r.id: r.component for r in components.components(links).collect()}
