@@ -26,6 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -97,7 +98,9 @@ class Network:
         self.steps = 0
 
     def scaled(self, x: np.ndarray) -> np.ndarray:
-        return np.clip((x - self.mean) / self.scale, -6, 6)
+        out = x - self.mean
+        out /= self.scale
+        return np.clip(out, -6, 6, out=out)
 
     def value(self, x: np.ndarray) -> np.ndarray:
         a, b, c, d = self.weights
@@ -123,8 +126,12 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 
 def _train(positive: np.ndarray, unlabelled: np.ndarray, prior: float | None) -> Network:
     """With a prior the non-negative risk of the sigmoid loss; without, plain separation of the two samples by logistic loss."""
-    both = np.concatenate((positive, unlabelled))
-    net = Network(both.mean(axis=0), np.maximum(both.std(axis=0), 1e-3))
+    # A few columns at a time, so that no copy of all of them is held.
+    mean, deviation = np.zeros(positive.shape[1]), np.zeros(positive.shape[1])
+    for i in range(0, len(mean), 16):
+        some = np.concatenate((positive[:, i : i + 16], unlabelled[:, i : i + 16])).astype(np.float64)
+        mean[i : i + 16], deviation[i : i + 16] = some.mean(axis=0), some.std(axis=0)
+    net = Network(mean, np.maximum(deviation, 1e-3))
     rng = np.random.Generator(np.random.PCG64(5))
     p, u = net.scaled(positive), net.scaled(unlabelled)
     half = BATCH // 2
@@ -174,8 +181,9 @@ def _sampled(rows: DataFrame, name: str, sample: int) -> np.ndarray:
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([x.astype(np.float32).tobytes() for x in features(batch.column("text"))], pa.binary())], ["doc_id", "x"])
 
-    got = rows.select("doc_id", "text").transform(scratch.arrow, run, "doc_id long, x binary").toPandas().sort_values("doc_id", kind="stable")
-    return np.frombuffer(b"".join(got.x), np.float32).reshape(-1, FEATURES).astype(np.float64)
+    got = rows.select("doc_id", "text").transform(scratch.arrow, run, "doc_id long, x binary").toArrow()
+    got = got["x"].take(pc.sort_indices(got["doc_id"]))
+    return np.frombuffer(b"".join(got.to_pylist()), np.float32).reshape(-1, FEATURES)
 
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[Network, float] | None:

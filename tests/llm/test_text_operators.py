@@ -539,6 +539,22 @@ def test_prior_estimate():
     assert abs(quality.estimate_prior(p, u) - 0.6) < 0.05
 
 
+def test_quality_fit_in_bounded_memory(monkeypatch):
+    """The fit runs on the driver: besides its samples it holds their scaled rows and little more."""
+    import tracemalloc
+
+    monkeypatch.setattr(quality, "EPOCHS", 1)
+    rng = np.random.default_rng(0)
+    p, u = rng.random((3000, quality.FEATURES)), rng.random((3000, quality.FEATURES))
+    tracemalloc.start()
+    try:
+        quality.fit(p, u)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 1.6 * (p.nbytes + u.nbytes)
+
+
 # Pseudonyms.
 
 
